@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import DAY_US, MINUTE_US, holds, or_zero, rounded, shannon, share
@@ -14,24 +14,53 @@ BURST_MINUTES = 60
 KYC_HOURS = 4
 SMALL_DEPOSIT = 500.0
 
-TYPE, TS, AMOUNT = F.col("event_type"), F.col("timestamp"), F.col("amount")
-LOGIN, DEPOSIT, WITHDRAWAL = TYPE == "login", TYPE == "deposit", TYPE == "withdrawal"
-KYC, TICKET = TYPE == "kyc_change", TYPE == "support_ticket"
-HOUR = F.hour(TS)
+
+def _kind(name: str) -> Column:
+    return F.col("event_type") == name
+
+
+def login() -> Column:
+    return _kind("login")
+
+
+def deposit() -> Column:
+    return _kind("deposit")
+
+
+def withdrawal() -> Column:
+    return _kind("withdrawal")
+
+
+def kyc_change() -> Column:
+    return _kind("kyc_change")
+
+
+def ticket() -> Column:
+    return _kind("support_ticket")
+
+
+def amount() -> Column:
+    return F.col("amount")
+
+
+def hour() -> Column:
+    return F.hour("timestamp")
+
 
 
 def base_aggregates() -> dict:
     """Unrounded one-pass aggregates; batch and stream features are built from these."""
-    n = F.greatest(F.count_if(LOGIN), F.lit(1))
-    deposited, withdrawn = F.when(DEPOSIT, AMOUNT), F.when(WITHDRAWAL, AMOUNT)
-    span_min = (F.max(F.when(LOGIN, F.unix_micros(TS))) - F.min(F.when(LOGIN, F.unix_micros(TS)))) / MINUTE_US
+    n = F.greatest(F.count_if(login()), F.lit(1))
+    deposited, withdrawn = F.when(deposit(), amount()), F.when(withdrawal(), amount())
+    at = F.when(login(), F.unix_micros("timestamp"))
+    span_min = (F.max(at) - F.min(at)) / MINUTE_US
     return {
-        "total_logins": F.count_if(LOGIN),
-        "failed_login_ratio": F.count_if(LOGIN & (F.col("status") == "failed")) / n,
-        "login_hour_mean": or_zero(F.avg(F.when(LOGIN, HOUR))),
-        "login_hour_std": or_zero(F.stddev_samp(F.when(LOGIN, HOUR))),
-        "pct_night_logins": or_zero(share(HOUR.between(0, 5), LOGIN)),
-        "inter_login_min": or_zero(F.when(F.count_if(LOGIN) > 1, span_min / (F.count_if(LOGIN) - 1))),
+        "total_logins": F.count_if(login()),
+        "failed_login_ratio": F.count_if(login() & (F.col("status") == "failed")) / n,
+        "login_hour_mean": or_zero(F.avg(F.when(login(), hour()))),
+        "login_hour_std": or_zero(F.stddev_samp(F.when(login(), hour()))),
+        "pct_night_logins": or_zero(share(hour().between(0, 5), login())),
+        "inter_login_min": or_zero(F.when(F.count_if(login()) > 1, span_min / (F.count_if(login()) - 1))),
         "total_deposits": or_zero(F.sum(deposited)),
         "total_withdrawals": or_zero(F.sum(withdrawn)),
         "deposit_count": F.count(deposited),
@@ -42,9 +71,9 @@ def base_aggregates() -> dict:
         "max_withdrawal_amt": or_zero(F.max(withdrawn)),
         "deposit_withdraw_ratio": or_zero(F.sum(withdrawn))
                                   / F.greatest(or_zero(F.sum(deposited)), F.lit(1.0)),
-        "structuring_score": F.count_if(DEPOSIT & (AMOUNT < SMALL_DEPOSIT)),
-        "kyc_change_count": F.count_if(KYC),
-        "support_ticket_count": F.count_if(TICKET),
+        "structuring_score": F.count_if(deposit() & (amount() < SMALL_DEPOSIT)),
+        "kyc_change_count": F.count_if(kyc_change()),
+        "support_ticket_count": F.count_if(ticket()),
     }
 
 
@@ -75,7 +104,7 @@ def diversity(events: DataFrame) -> DataFrame:
     """Distinct counts of IPs, devices and countries of logins, and the IP entropy."""
     dims = F.array(*[F.struct(F.lit(d).alias("dim"), F.col(c).alias("v"))
                      for d, c in (("ip", "ip_address"), ("dev", "device_id"), ("geo", "country"))])
-    counts = (events.where(LOGIN).select(KEY, F.explode(dims).alias("d"))
+    counts = (events.where(login()).select(KEY, F.explode(dims).alias("d"))
               .select(KEY, "d.dim", "d.v").where(F.col("v").isNotNull())
               .groupBy(KEY, "dim", "v").agg(F.count("*").alias("c")))
     ip = F.col("dim") == "ip"
@@ -89,15 +118,15 @@ def diversity(events: DataFrame) -> DataFrame:
 
 def login_bursts(events: DataFrame, window_minutes: int = BURST_MINUTES) -> DataFrame:
     """(user, at_us, n): distinct IPs in the window that starts at each login."""
-    return distinct_ahead(events.where(LOGIN), KEY, "timestamp", "ip_address",
+    return distinct_ahead(events.where(login()), KEY, "timestamp", "ip_address",
                           window_minutes * MINUTE_US)
 
 
 def kyc_before_withdrawals(events: DataFrame, window_hours: int = KYC_HOURS) -> DataFrame:
     """(user, at_us, n, payload): KYC changes in the window that ends at each withdrawal."""
-    return count_behind(events, KEY, "timestamp", holds(KYC), holds(WITHDRAWAL),
+    return count_behind(events, KEY, "timestamp", holds(kyc_change()), holds(withdrawal()),
                         window_hours * 60 * MINUTE_US,
-                        F.struct(F.col("event_id"), AMOUNT.alias("amount")))
+                        F.struct(F.col("event_id"), amount().alias("amount")))
 
 
 def portal_features(events: DataFrame, burst_minutes: int = BURST_MINUTES,
@@ -108,9 +137,9 @@ def portal_features(events: DataFrame, burst_minutes: int = BURST_MINUTES,
                         rows_per_part=rows_per_part)
             .groupBy(KEY).agg(
                 *[c.alias(n) for n, c in base_aggregates().items()],
-                F.count_if(recent & LOGIN).alias("rolling_7d_logins"),
-                F.count_if(recent & DEPOSIT).alias("rolling_7d_deposits"),
-                F.count_if(recent & WITHDRAWAL).alias("rolling_7d_withdrawals"),
+                F.count_if(recent & login()).alias("rolling_7d_logins"),
+                F.count_if(recent & deposit()).alias("rolling_7d_deposits"),
+                F.count_if(recent & withdrawal()).alias("rolling_7d_withdrawals"),
                 F.bool_or(holds(F.col("anomaly_flag"))).alias(LABEL)))
     burst = (login_bursts(events, burst_minutes).groupBy(KEY)
              .agg(F.greatest(F.max("n"), F.lit(1)).alias("max_ips_in_1h")))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ordered import exact_quantiles
+from ..session import cut_lineage
 from ..schemas import KEY, LABEL, PORTAL_FEATURES, STORE_FEATURES, TRADE_FEATURES
 
 
@@ -36,7 +37,8 @@ def imputed(store: DataFrame, how: str = "median") -> DataFrame:
     names = feature_columns(store)
     if how == "zero":
         return store.na.fill(0.0, names)
-    medians = {c: q[0] for c, q in exact_quantiles(store, names, [0.5]).items()}
+    store = cut_lineage(store, "store")
+    medians = {c: q[0] for c, q in exact_quantiles(store, names, [0.5], stored=True).items()}
     return store.na.fill({c: m for c, m in medians.items() if m == m})
 
 

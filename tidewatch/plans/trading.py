@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import DAY_US, MINUTE_US, holds, or_zero, rounded, shannon, share
@@ -11,38 +11,53 @@ from ..operators.sliced import longest_run
 from ..schemas import KEY, LABEL, TRADE_FEATURES
 from .portal import last_seen, recent_days
 
-LOT, PNL, DUR, OPEN = F.col("lot_size"), F.col("pnl"), F.col("duration_min"), F.col("open_ts")
+
+def lot() -> Column:
+    return F.col("lot_size")
+
+
+def pnl() -> Column:
+    return F.col("pnl")
+
+
+def minutes() -> Column:
+    return F.col("duration_min")
+
+
+def opened() -> Column:
+    return F.col("open_ts")
+
 STREAK_SLICE_US = 60 * MINUTE_US
 
 
 def base_aggregates() -> dict:
     """Unrounded one-pass aggregates; batch and stream features are built from these."""
-    lot_sd, pnl_sd = or_zero(F.stddev_samp(LOT)), or_zero(F.stddev_samp(PNL))
-    opened = F.unix_micros(OPEN)
-    days = F.greatest(F.floor((F.max(opened) - F.min(opened)) / DAY_US), F.lit(1))
+    lot_sd, pnl_sd = or_zero(F.stddev_samp(lot())), or_zero(F.stddev_samp(pnl()))
+    at = F.unix_micros(opened())
+    days = F.greatest(F.floor((F.max(at) - F.min(at)) / DAY_US), F.lit(1))
     return {
         "total_trades": F.count(F.lit(1)),
-        "total_lot_size": or_zero(F.sum(LOT)),
-        "mean_lot_size": F.avg(LOT),
+        "total_lot_size": or_zero(F.sum(lot())),
+        "mean_lot_size": F.avg(lot()),
         "std_lot_size": lot_sd,
-        "max_lot_size": F.max(LOT),
-        "lot_zscore_max": F.when(lot_sd > 0, (F.max(LOT) - F.avg(LOT)) / lot_sd).otherwise(0.0),
+        "max_lot_size": F.max(lot()),
+        "lot_zscore_max": F.when(lot_sd > 0, (F.max(lot()) - F.avg(lot())) / lot_sd).otherwise(0.0),
         "trades_per_day": F.count(F.lit(1)) / days,
-        "total_pnl": or_zero(F.sum(PNL)),
-        "mean_pnl": F.avg(PNL),
+        "total_pnl": or_zero(F.sum(pnl())),
+        "mean_pnl": F.avg(pnl()),
         "std_pnl": pnl_sd,
-        "pnl_volatility": pnl_sd / (F.abs(F.avg(PNL)) + 1.0),
-        "win_rate": share(PNL > 0),
-        "max_single_win": F.max(PNL),
-        "max_single_loss": F.min(PNL),
-        "mean_duration_min": F.avg(DUR),
-        "std_duration_min": or_zero(F.stddev_samp(DUR)),
-        "pct_sub_minute_trades": share(DUR < 1.0),
-        "pct_sub_30s_trades": share(DUR < 0.5),
+        "pnl_volatility": pnl_sd / (F.abs(F.avg(pnl())) + 1.0),
+        "win_rate": share(pnl() > 0),
+        "max_single_win": F.max(pnl()),
+        "max_single_loss": F.min(pnl()),
+        "mean_duration_min": F.avg(minutes()),
+        "std_duration_min": or_zero(F.stddev_samp(minutes())),
+        "pct_sub_minute_trades": share(minutes() < 1.0),
+        "pct_sub_30s_trades": share(minutes() < 0.5),
         "mean_margin_used": F.avg("margin_used"),
         "max_margin_used": F.max("margin_used"),
-        "trade_hour_std": or_zero(F.stddev_samp(F.hour(OPEN))),
-        "weekend_trade_ratio": share(F.dayofweek(OPEN).isin(1, 7)),
+        "trade_hour_std": or_zero(F.stddev_samp(F.hour(opened()))),
+        "weekend_trade_ratio": share(F.dayofweek(opened()).isin(1, 7)),
     }
 
 
@@ -72,7 +87,7 @@ def instrument_mix(trades: DataFrame) -> DataFrame:
 def win_streaks(trades: DataFrame, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """Longest run of winning trades per user in the order (open_ts, trade_id)."""
     heavy = heavy_keys(last_seen(trades, "open_ts"), KEY, "n_events", rows_per_part)
-    return (longest_run(trades, KEY, "open_ts", ["trade_id"], PNL > 0, STREAK_SLICE_US, heavy)
+    return (longest_run(trades, KEY, "open_ts", ["trade_id"], pnl() > 0, STREAK_SLICE_US, heavy)
             .withColumnRenamed("longest", "consecutive_wins_max"))
 
 
@@ -85,8 +100,8 @@ def trading_features(trades: DataFrame, rows_per_part: int = ROWS_PER_PART) -> D
             .groupBy(KEY).agg(
                 *[c.alias(n) for n, c in base_aggregates().items()],
                 F.count_if(recent).alias("rolling_7d_trades"),
-                F.sum(F.when(recent, PNL)).alias("rolling_7d_pnl"),
-                F.sum(F.when(recent, LOT)).alias("rolling_7d_lot_size"),
+                F.sum(F.when(recent, pnl())).alias("rolling_7d_pnl"),
+                F.sum(F.when(recent, lot())).alias("rolling_7d_lot_size"),
                 F.bool_or(holds(F.col("anomaly_flag"))).alias(LABEL)))
     joined = (base.join(instrument_mix(trades), KEY, "left")
               .join(win_streaks(trades, rows_per_part), KEY, "left"))

@@ -15,9 +15,15 @@ from pyspark.sql import functions as F  # noqa: E402
 import oracles  # noqa: E402
 from tidewatch.functions.columns import (alert_risk, blend, response_risk, rounded)  # noqa: E402
 from tidewatch.plans import alerts, explore, metrics, portal, rules, store, trading  # noqa: E402
-from tidewatch.schemas import KEY, LABEL, PORTAL_FEATURES, STORE_FEATURES  # noqa: E402
+from tidewatch.models import blended, density  # noqa: E402
+from tidewatch.models.autoencoder import AutoencoderDetector  # noqa: E402
+from tidewatch.models.baseline import BaselineDetector, explained  # noqa: E402
+from tidewatch.models.scaling import RobustScale  # noqa: E402
+from tidewatch.schemas import KEY, LABEL, QUICK_PORTAL, QUICK_TRADE, STORE_FEATURES  # noqa: E402
+from tidewatch.session import cut_lineage, shared_path  # noqa: E402
 from tidewatch.sources import envelope, lookup  # noqa: E402
-from tidewatch.sources.bridge import portal_view, trade_view  # noqa: E402
+from tidewatch.sources.bridge import portal_columns, portal_view, trade_columns, trade_view  # noqa: E402
+from tidewatch.streaming import buffers, scoring  # noqa: E402
 
 AS_OF = datetime(2024, 7, 1)
 # The driver's events are too sparse for the 60-minute and 4-hour frames to fire.
@@ -200,6 +206,121 @@ def _model_comparison(spark, d) -> DataFrame:
     return _rounded_metrics(metrics.binary_metrics(series))
 
 
+# Models are fitted once per session and folder, and used by all queries that score.
+_FITTED: dict = {}
+
+
+def _fitted(spark, d, what: str):
+    key = (spark.sparkContext.applicationId, d, what)
+    if key not in _FITTED:
+        if what == "store":
+            _FITTED[key] = cut_lineage(_store(spark, d), "store")
+        elif what == "baseline":
+            _FITTED[key] = BaselineDetector().fit(_fitted(spark, d, "store"))
+        else:
+            _FITTED[key] = AutoencoderDetector().fit(_fitted(spark, d, "store"))
+    return _FITTED[key]
+
+
+def _robust_scaled(spark, d) -> DataFrame:
+    full = store.imputed(_store(spark, d), "zero")
+    full = cut_lineage(full, "store")
+    scale = RobustScale.fit(full, STORE_FEATURES, stored=True)
+    return full.select(KEY, *[rounded(c, 6).alias(n) for n, c in zip(STORE_FEATURES, scale.columns())])
+
+
+def _embeddings(spark, d) -> DataFrame:
+    return spark.read.parquet(f"{d}/embeddings.parquet").select(
+        F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("x"), "label")
+
+
+def _lof(spark, d) -> DataFrame:
+    factors = density.outlier_factors(_embeddings(spark, d), 64)
+    return factors.select(F.col("id").alias("vec_id"), rounded(F.col("lof"), 6).alias("lof"),
+                          (F.col("lof") > 1.5).alias("is_outlier"))
+
+
+def _nn_lof(spark, d) -> DataFrame:
+    """Vectors of the odd labels take the factor of their nearest neighbour among the even ones."""
+    vectors = _embeddings(spark, d)
+    points = cut_lineage(density.outlier_factors(vectors.where("label % 2 = 0"), 64), "lof")
+    taken = density.adopt_factors(vectors.where("label % 2 = 1"), points, 64)
+    return taken.select(F.col("id").alias("vec_id"), rounded(F.col("lof"), 6).alias("lof"))
+
+
+def _iforest(spark, d) -> DataFrame:
+    return _fitted(spark, d, "baseline").transform(_fitted(spark, d, "store"))
+
+
+def _importance(spark, d) -> DataFrame:
+    model, full = _fitted(spark, d, "baseline"), _fitted(spark, d, "store")
+    names = F.array(*[F.lit(c) for c in model.params_.scale.features])
+    vectors = cut_lineage(full.select(F.col(KEY).alias("id"), model.params_.scale.vector().alias("x")), "scaled")
+    return (model.forest.importance(vectors).orderBy(F.desc("importance"), "feature").limit(15)
+            .select(F.element_at(names, F.col("feature") + 1).alias("feature"), "importance"))
+
+
+def _ae_scores(spark, d) -> DataFrame:
+    return _fitted(spark, d, "autoencoder").transform(_fitted(spark, d, "store"))
+
+
+def _score_users(spark, d) -> DataFrame:
+    wanted = _wanted(spark, d)
+    scores = blended.blended_scores(lookup.hits(_fitted(spark, d, "store"), wanted),
+                                    _fitted(spark, d, "baseline"), _fitted(spark, d, "autoencoder"))
+    return blended.with_findings(scores, portal_view(spark, d), trade_view(spark, d), AS_OF, **WINDOWS)
+
+
+def _score_maps(spark, d) -> DataFrame:
+    pairs = F.create_map(*[x for c in ("t_total_trades", "t_win_rate", "t_pnl_volatility", "p_unique_ips")
+                           for x in (F.lit(c), F.coalesce(c, F.lit(0.0)))])
+    maps = _fitted(spark, d, "store").select(KEY, pairs.alias("features"))
+    return blended.score_maps(maps, _fitted(spark, d, "baseline"), _fitted(spark, d, "autoencoder"))
+
+
+def _explain(spark, d) -> DataFrame:
+    """The five features furthest from their mean, in standard deviations, per user."""
+    full = _fitted(spark, d, "store")
+    names = oracles.EXPLAINED
+    stats = full.agg(*[a for c in names for a in (F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}"))]).first()
+    top = explained([F.col(c) for c in names], names, [stats[f"m_{c}"] for c in names],
+                    [stats[f"s_{c}"] + 1e-9 for c in names])
+    return full.select(KEY, F.array_join(top, "|").alias("top_features"))
+
+
+def _stream(spark, d) -> DataFrame:
+    """The tables as an event stream of bus records."""
+    def read(name: str) -> DataFrame:
+        schema = spark.read.parquet(f"{d}/{name}.parquet").schema
+        return spark.readStream.schema(schema).parquet(f"{d}/{name[:-1]}[{name[-1]}].parquet")
+
+    trades = trade_columns(read("lineitem"), spark.read.parquet(f"{d}/orders.parquet"),
+                           spark.read.parquet(f"{d}/part.parquet"))
+    return envelope.event_envelope(portal_columns(read("events")), trades)
+
+
+def _stream_features(spark, d) -> DataFrame:
+    out = shared_path(spark, "stream-features")
+
+    def each(batch, batch_id):
+        features = scoring.quick_features(*scoring.buffered_events(cut_lineage(batch, "buffers")))
+        features.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    scoring.run_to_end(buffers.user_buffers(_stream(spark, d)), each, shared_path(spark, "ckpt"))
+    last = F.max_by(F.struct(*STORE_FEATURES), "batch_id")
+    known = [f"p_{c}" for c in QUICK_PORTAL] + [f"t_{c}" for c in QUICK_TRADE]
+    return (spark.read.parquet(out).groupBy(KEY).agg(last.alias("f"))
+            .select(KEY, *[rounded(F.col(f"f.{c}"), 6).alias(c) for c in known]))
+
+
+def _stream_alerts(spark, d) -> DataFrame:
+    out = shared_path(spark, "stream-alerts")
+    scorer = scoring.StreamScorer(_fitted(spark, d, "baseline"), _fitted(spark, d, "autoencoder"), out,
+                                  as_of=AS_OF, rule_windows=WINDOWS)
+    scoring.run_to_end(buffers.user_buffers(_stream(spark, d), every=10), scorer, shared_path(spark, "ckpt"))
+    return scoring.read_alerts(spark, out)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Per-user risk features of both sources on the smallest tables."""
     return _store(spark, "/root/testdata/sf0.001")
@@ -237,6 +358,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "binary_metrics": _binary_metrics,
         "roc_points": _roc,
         "model_comparison": _model_comparison,
+        "robust_scaled": _robust_scaled,
+        "explain_top5": _explain,
+        "lof_scores": _lof,
+        "nn_lof": _nn_lof,
+        "iforest_scores": _iforest,
+        "permutation_importance": _importance,
+        "ae_scores": _ae_scores,
+        "score_users": _score_users,
+        "score_feature_maps": _score_maps,
+        "stream_features": _stream_features,
+        "stream_alerts": _stream_alerts,
     }
 
 

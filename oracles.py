@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewatch.schemas import PORTAL_FEATURES, STORE_FEATURES, TRADE_FEATURES
+from tidewatch.schemas import PORTAL_FEATURES, QUICK_PORTAL, QUICK_TRADE, STORE_FEATURES, TRADE_FEATURES
 
 
 def r(x: str, n: int) -> str:
@@ -325,6 +325,22 @@ HIST_FEATURES = ["p_unique_ips", "p_pct_night_logins", "p_deposit_withdraw_ratio
                  "t_pnl_volatility", "t_pct_sub_30s_trades", "t_top_instrument_concentration"]
 
 
+EXPLAINED = ["t_total_trades", "t_mean_lot_size", "t_win_rate", "t_pnl_volatility", "t_mean_pnl", "t_max_single_win",
+             "t_max_single_loss", "t_mean_duration_min", "t_instrument_entropy", "t_mean_margin_used"]
+
+
+def lof(where: str, width: int = 64, k: int = 20) -> list[str]:
+    return [f"""
+ref as materialized (select vec_id as id, cast(embedding as double[{width}]) as x from embeddings where {where})""", f"""
+nn as materialized (
+  select a.id as q, b.id as r, array_distance(a.x, b.x) as dist from ref a join ref b on a.id <> b.id
+  qualify row_number() over (partition by a.id order by array_distance(a.x, b.x), b.id) <= {k})""", """
+kd as (select q, max(dist) as kdist from nn group by q)""", f"""
+lrd as (select n.q, 1.0 / (sum(greatest(kdist, dist)) / {k} + 1e-10) as lrd from nn n join kd on kd.q = n.r group by n.q)""", f"""
+lof as (select n.q as id, sum(r.lrd) / {k} / any_value(o.lrd) as lof
+  from nn n join lrd r on r.q = n.r join lrd o on o.q = n.q group by n.q)"""]
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     out["portal_features"] = sql(PORTAL_ALL, "select * from portal_feat")
@@ -406,4 +422,42 @@ def oracle_sql() -> dict[str, str]:
     out["binary_metrics"] = sql([LABELLED, METRICS], "")
     out["roc_points"] = sql([LABELLED, ROC], "")
     out["model_comparison"] = sql([*STORE_ALL, SCORED, SCORE_SERIES, METRICS], "")
+    out["lof_scores"] = sql(lof("true"), f"select id as vec_id, {r('lof', 6)} as lof, lof > 1.5 as is_outlier from lof")
+    out["nn_lof"] = sql(
+        lof("label % 2 = 0"),
+        f"""select q.vec_id, {r('lof.lof', 6)} as lof from (
+              select e.vec_id, ref.id from embeddings e join ref on true where e.label % 2 = 1
+              qualify row_number() over (partition by e.vec_id
+                order by array_distance(cast(e.embedding as double[64]), ref.x), ref.id) = 1) q join lof on lof.id = q.id""")
+    parts = " union all ".join(
+        f"select user_id, '{c}' as f, {i} as i, abs(({c} - avg({c}) over ()) / (stddev_pop({c}) over () + 1e-9)) as z from store"
+        for i, c in enumerate(EXPLAINED))
+    out["explain_top5"] = sql(
+        [*TRADE_ALL, *PORTAL_ALL, STORE.replace("store as (", "store as materialized (", 1), f"zs as ({parts})"],
+        """select user_id, string_agg(f, '|' order by z desc, i) as top_features from (
+             select * from zs qualify row_number() over (partition by user_id order by z desc, i) <= 5) group by user_id""")
+    out["stream_features"] = sql(
+        [PORTAL, TRADE, """
+bp as (select * from portal qualify row_number() over (partition by user_id order by ts desc, event_id desc) <= 200)""", """
+bt as (select * from trade qualify row_number() over (partition by user_id order by open_ts desc, trade_id desc) <= 200)""", """
+fp as (
+  select user_id, count(*) filter (kind = 'login') as total_logins,
+    count(*) filter (kind = 'login' and status = 'failed') / greatest(count(*) filter (kind = 'login'), 1) as failed_login_ratio,
+    count(distinct k) filter (kind = 'login') as unique_ips, count(distinct k % 10) filter (kind = 'login') as unique_countries,
+    coalesce(avg(case when hour(ts) <= 5 then 1.0 else 0.0 end) filter (kind = 'login'), 0) as pct_night_logins,
+    count(amount) filter (kind = 'deposit') as deposit_count, count(amount) filter (kind = 'withdrawal') as withdrawal_count,
+    coalesce(sum(amount) filter (kind = 'withdrawal'), 0) / greatest(coalesce(sum(amount) filter (kind = 'deposit'), 0), 1) as deposit_withdraw_ratio,
+    count(*) filter (kind = 'deposit' and amount < 500) as structuring_score,
+    count(*) filter (kind = 'kyc_change') as kyc_change_count from bp group by user_id)""", """
+ft as (
+  select user_id, count(*) as total_trades, avg(lot) as mean_lot_size, max(lot) as max_lot_size,
+    coalesce(stddev_samp(pnl), 0) / (abs(avg(pnl)) + 1) as pnl_volatility,
+    avg(case when pnl > 0 then 1.0 else 0.0 end) as win_rate, avg(case when dur < 0.5 then 1.0 else 0.0 end) as pct_sub_30s_trades
+  from bt group by user_id)""", """
+fm as (select user_id, max(c) * 1.0 / sum(c) as top_instrument_concentration
+  from (select user_id, instrument, count(*) as c from bt group by all) group by user_id)"""],
+        "select cast(coalesce(fp.user_id, ft.user_id) as varchar) as user_id, "
+        + ", ".join(r(f"coalesce(fp.{c}, 0)", 6) + f" as p_{c}" for c in QUICK_PORTAL) + ", "
+        + ", ".join(r(f"coalesce({'fm' if c.startswith('top') else 'ft'}.{c}, 0)", 6) + f" as t_{c}" for c in QUICK_TRADE)
+        + " from fp full join ft using (user_id) left join fm on fm.user_id = coalesce(fp.user_id, ft.user_id)")
     return out

@@ -20,7 +20,7 @@ from tidewatch.models.autoencoder import AutoencoderDetector  # noqa: E402
 from tidewatch.models.baseline import BaselineDetector, explained  # noqa: E402
 from tidewatch.models.scaling import RobustScale  # noqa: E402
 from tidewatch.schemas import KEY, LABEL, QUICK_PORTAL, QUICK_TRADE, STORE_FEATURES  # noqa: E402
-from tidewatch.session import cut_lineage, shared_path  # noqa: E402
+from tidewatch.session import clustered, cut_lineage, shared_path  # noqa: E402
 from tidewatch.sources import envelope, lookup  # noqa: E402
 from tidewatch.sources.bridge import portal_columns, portal_view, trade_columns, trade_view  # noqa: E402
 from tidewatch.streaming import buffers, scoring  # noqa: E402
@@ -34,12 +34,17 @@ def _portal_features(spark, d) -> DataFrame:
     return portal.portal_features(portal_view(spark, d), **WINDOWS)
 
 
-def _trading_features(spark, d) -> DataFrame:
-    return trading.trading_features(trade_view(spark, d))
+def _trades(spark, d) -> DataFrame:
+    """The trade view joined once and laid out by user, for queries that read it several times."""
+    return clustered(trade_view(spark, d), KEY, "trades")
 
 
-def _store(spark, d) -> DataFrame:
-    return store.feature_store(_portal_features(spark, d), _trading_features(spark, d))
+def _trading_features(spark, d, trades: DataFrame | None = None) -> DataFrame:
+    return trading.trading_features(_trades(spark, d) if trades is None else trades)
+
+
+def _store(spark, d, trades: DataFrame | None = None) -> DataFrame:
+    return store.feature_store(_portal_features(spark, d), _trading_features(spark, d, trades))
 
 
 def _imputed(spark, d) -> DataFrame:
@@ -47,9 +52,9 @@ def _imputed(spark, d) -> DataFrame:
     return full.select(KEY, LABEL, *[rounded(F.col(c), 6).alias(c) for c in STORE_FEATURES])
 
 
-def _scored(spark, d) -> DataFrame:
+def _scored(spark, d, trades: DataFrame | None = None) -> DataFrame:
     """Stand-in scores taken from the store, so that an oracle exists for what follows them."""
-    return _store(spark, d).select(
+    return _store(spark, d, trades).select(
         KEY, LABEL, F.col("t_win_rate").alias("if_score"),
         F.col("t_pct_sub_minute_trades").alias("lof_score"),
         rounded(blend(F.col("t_win_rate"), F.col("t_pct_sub_minute_trades")), 4).alias("ensemble_score"),
@@ -98,12 +103,13 @@ def _portal_rules(spark, d) -> DataFrame:
 
 
 def _trading_rules(spark, d) -> DataFrame:
-    stats = rules.trading_rule_stats(trade_view(spark, d))
+    stats = rules.trading_rule_stats(_trades(spark, d))
     return stats.select(KEY, "trading_event_count", *[c.alias(n) for n, c in rules.trading_findings().items()])
 
 
 def _alerts(spark, d) -> DataFrame:
-    return alerts.alerts_from_scores(_scored(spark, d), portal_view(spark, d), trade_view(spark, d),
+    trades = _trades(spark, d)
+    return alerts.alerts_from_scores(_scored(spark, d, trades), portal_view(spark, d), trades,
                                      AS_OF, threshold=0.30, **WINDOWS)
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..models.autoencoder import AutoencoderDetector, AutoencoderModel
 from ..models.baseline import BaselineDetector, BaselineModel
-from ..schemas import LABEL
+from ..schemas import KEY, LABEL
+from ..session import clustered
 from ..sources.tables import write_table
 from . import metrics
 from .alerts import alerts_from_scores
@@ -35,8 +36,12 @@ class PipelineResult:
 def run_pipeline(events: DataFrame, trades: DataFrame, out: str, as_of: datetime,
                  threshold: float = PIPELINE_THRESHOLD, baseline: BaselineDetector | None = None,
                  autoencoder: AutoencoderDetector | None = None, **rule_windows: int) -> PipelineResult:
-    """Every stage that is read more than once is written under `out` and read back."""
+    """Every stage that is read more than once is written under `out` and read back.
+
+    The events are first laid out by user: seven feature and rule branches read each source.
+    """
     spark = events.sparkSession
+    events, trades = clustered(events, KEY, "events"), clustered(trades, KEY, "trades")
 
     def stored(df: DataFrame, name: str) -> DataFrame:
         write_table(df, f"{out}/{name}")

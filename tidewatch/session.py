@@ -57,3 +57,12 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = shared_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clustered(df: DataFrame, key: str, name: str = "clustered") -> DataFrame:
+    """Write `df` once with the rows of a key together, and read it back.
+
+    Aggregates by the key then merge before their shuffle. Rebalancing splits a key that fills
+    more than one partition, so a heavy key costs more files and not a longer task.
+    """
+    return cut_lineage(df.hint("rebalance", key), name)

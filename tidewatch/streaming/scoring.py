@@ -83,11 +83,12 @@ class StreamScorer:
         features = {"quick": quick_features, "full": full_features}[self.mode](*buffered_events(buffers))
         scores = blended_scores(cut_lineage(features, "stream-features"), self.baseline, self.autoencoder,
                                 self.threshold)
-        raised = scores.where("is_alert")
+        raised = cut_lineage(scores.where("is_alert"), "raised")
         earlier = read_alerts(spark, self.alert_path)
         if earlier is not None:
-            raised = raised.join(earlier.where(F.col("batch_id") < batch_id).select(KEY), KEY, "left_anti")
-        raised = cut_lineage(raised, "raised")
+            # The batch's few users are looked up in the alert table, not the other way round.
+            known = earlier.where(F.col("batch_id") < batch_id).join(raised.select(KEY), KEY, "left_semi")
+            raised = raised.join(known.select(KEY), KEY, "left_anti")
         events, trades = buffered_events(buffers.join(raised.select(KEY), KEY, "left_semi"))
         alerts = build_alerts(raised.select(KEY, "final_score", "if_score", "ae_score", "top_features"),
                               portal_rule_stats(events, **self.rule_windows), trading_rule_stats(trades),

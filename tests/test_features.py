@@ -5,7 +5,7 @@ from datetime import timedelta
 
 import pytest
 
-from conftest import BASE, one
+from conftest import BASE
 from tidewatch.plans.portal import login_bursts, portal_features
 from tidewatch.plans.store import feature_columns, feature_counts, feature_store, imputed
 from tidewatch.plans.trading import trading_features, win_streaks
@@ -16,91 +16,114 @@ def at(**kw):
     return BASE + timedelta(**kw)
 
 
-def test_single_login_has_zero_defaults(portal):
-    row = one(portal_features(portal([{}])))
+NIGHT = BASE.replace(hour=0)
+
+# One user per case, so that the features of all cases come from one run.
+PORTAL_CASES = {
+    "single": [{}],
+    "money": [{"event_type": "deposit", "amount": None}, {"event_type": "deposit", "amount": 10.0},
+              {"event_type": "withdrawal", "amount": None, "anomaly_flag": True}],
+    "null_ips": [{"ip_address": None}, {"ip_address": None}],
+    "burst_3600": [{"ip_address": "a"}, {"ip_address": "b", "timestamp": at(seconds=3600)}],
+    "burst_3601": [{"ip_address": "a"}, {"ip_address": "b", "timestamp": at(seconds=3601)}],
+    "deposit_499": [{"event_type": "deposit", "amount": 499.99}],
+    "deposit_500": [{"event_type": "deposit", "amount": 500.0}],
+    "night": [{"timestamp": NIGHT.replace(hour=h)} for h in (0, 1, 4, 5, 6)],
+    "week": [{"timestamp": at(days=-7)}, {"timestamp": at(days=-7, seconds=-1)}, {"event_type": "support_ticket"}],
+    "entropy": [{"ip_address": ip, "timestamp": at(minutes=m)} for ip, m in (("a", 0), ("a", 10), ("b", 40))],
+    "tie": [{"status": "failed"}] + [{}] * 31,
+    **{f"kyc_{first}_{count}": [{"event_type": "kyc_change", "timestamp": at(seconds=-first)}]
+       + [{"event_type": "kyc_change"}] * (count - 1) + [{"event_type": "withdrawal", "amount": 5.0}]
+       for first, count in ((4 * 3600, 3), (4 * 3600 + 1, 3), (0, 3), (0, 2))},
+}
+TRADE_CASES = {
+    "week": [{"open_ts": at(days=-7), "pnl": 2.0}, {"open_ts": at(days=-7, seconds=-1), "pnl": 50.0}, {"pnl": 3.0}],
+    "fast": [{"duration_min": d} for d in (0.49, 0.50, 0.99, 1.00)],
+    "single": [{"pnl": -3.0}],
+    "streak": [{"pnl": p, "open_ts": at(minutes=i)} for i, p in enumerate([1.0, 1.0, 0.0, 1.0, 1.0, 1.0, -1.0])],
+    "weekend": [{"open_ts": at(days=d)} for d in range(7)],
+}
+
+
+def rows_of(cases):
+    return [{**r, "user_id": name} for name, rows in cases.items() for r in rows]
+
+
+@pytest.fixture(scope="module")
+def p(portal):
+    return {r.user_id: r for r in portal_features(portal(rows_of(PORTAL_CASES))).collect()}
+
+
+@pytest.fixture(scope="module")
+def t(trades):
+    return {r.user_id: r for r in trading_features(trades(rows_of(TRADE_CASES))).collect()}
+
+
+def test_single_login_has_zero_defaults(p):
+    row = p["single"]
     assert row.total_logins == 1 and row.login_hour_mean == 10.0
     assert row.login_hour_std == 0 and row.inter_login_min == 0 and row.ip_entropy == 0
     assert row.max_ips_in_1h == 1 and row.total_deposits == 0 and row.kyc_before_withdrawal == 0
     assert row.is_anomalous is False
 
 
-def test_no_logins_and_null_amounts(portal):
-    row = one(portal_features(portal([
-        {"event_type": "deposit", "amount": None}, {"event_type": "deposit", "amount": 10.0},
-        {"event_type": "withdrawal", "amount": None, "anomaly_flag": True}])))
+def test_no_logins_and_null_amounts(p):
+    row = p["money"]
     assert row.total_logins == 0 and row.failed_login_ratio == 0 and row.max_ips_in_1h == 0
     assert row.deposit_count == 1 and row.withdrawal_count == 0 and row.mean_deposit_amt == 10.0
     assert row.rolling_7d_deposits == 2 and row.rolling_7d_withdrawals == 1
     assert row.is_anomalous is True
 
 
-def test_null_ips_count_as_one_in_the_burst(portal):
-    row = one(portal_features(portal([{"ip_address": None}, {"ip_address": None}])))
-    assert row.unique_ips == 0 and row.max_ips_in_1h == 1 and row.total_logins == 2
+def test_null_ips_count_as_one_in_the_burst(p):
+    assert p["null_ips"].unique_ips == 0 and p["null_ips"].max_ips_in_1h == 1 and p["null_ips"].total_logins == 2
 
 
-@pytest.mark.parametrize("seconds,expected", [(3600, 2), (3601, 1)])
-def test_burst_window_includes_its_end(portal, seconds, expected):
-    row = one(portal_features(portal([{"ip_address": "a"}, {"ip_address": "b", "timestamp": at(seconds=seconds)}])))
-    assert row.max_ips_in_1h == expected
+def test_burst_window_includes_its_end(p):
+    assert p["burst_3600"].max_ips_in_1h == 2 and p["burst_3601"].max_ips_in_1h == 1
 
 
-@pytest.mark.parametrize("first,count,expected", [(4 * 3600, 3, 1), (4 * 3600 + 1, 3, 0), (0, 3, 1), (0, 2, 0)])
-def test_kyc_window_includes_both_ends(portal, first, count, expected):
-    rows = [{"event_type": "kyc_change", "timestamp": at(seconds=-first)}] + \
-           [{"event_type": "kyc_change"}] * (count - 1) + [{"event_type": "withdrawal", "amount": 5.0}]
-    assert one(portal_features(portal(rows))).kyc_before_withdrawal == expected
+def test_kyc_window_includes_both_ends(p):
+    got = {name: r.kyc_before_withdrawal for name, r in p.items() if name.startswith("kyc_")}
+    assert got == {"kyc_14400_3": 1, "kyc_14401_3": 0, "kyc_0_3": 1, "kyc_0_2": 0}
 
 
-@pytest.mark.parametrize("amount,expected", [(499.99, 1), (500.0, 0)])
-def test_small_deposit_is_strict(portal, amount, expected):
-    assert one(portal_features(portal([{"event_type": "deposit", "amount": amount}]))).structuring_score == expected
+def test_small_deposit_is_strict(p):
+    assert p["deposit_499"].structuring_score == 1 and p["deposit_500"].structuring_score == 0
 
 
-def test_night_hours(portal):
-    base = BASE.replace(hour=0)
-    rows = [{"timestamp": base.replace(hour=h)} for h in (0, 1, 4, 5, 6)]
-    assert one(portal_features(portal(rows))).pct_night_logins == 0.8
+def test_night_hours(p):
+    assert p["night"].pct_night_logins == 0.8
 
 
-def test_last_seven_days_include_the_boundary(portal, trades):
-    rows = [{"timestamp": at(days=-7)}, {"timestamp": at(days=-7, seconds=-1)}, {"event_type": "support_ticket"}]
-    row = one(portal_features(portal(rows)))
-    assert row.rolling_7d_logins == 1 and row.support_ticket_count == 1
-    row = one(trading_features(trades([
-        {"open_ts": at(days=-7), "pnl": 2.0}, {"open_ts": at(days=-7, seconds=-1), "pnl": 50.0}, {"pnl": 3.0}])))
+def test_last_seven_days_include_the_boundary(p, t):
+    assert p["week"].rolling_7d_logins == 1 and p["week"].support_ticket_count == 1
+    row = t["week"]
     assert row.rolling_7d_trades == 2 and row.rolling_7d_pnl == 5.0 and row.rolling_7d_lot_size == 2.0
 
 
-def test_entropy_and_gaps(portal):
-    rows = [{"ip_address": ip, "timestamp": at(minutes=m)} for ip, m in (("a", 0), ("a", 10), ("b", 40))]
-    row = one(portal_features(portal(rows)))
-    assert row.ip_entropy == round(-(2 / 3 * math.log(2 / 3) + 1 / 3 * math.log(1 / 3)), 4)
-    assert row.inter_login_min == 20.0 and row.unique_ips == 2
+def test_entropy_and_gaps(p):
+    assert p["entropy"].ip_entropy == round(-(2 / 3 * math.log(2 / 3) + 1 / 3 * math.log(1 / 3)), 4)
+    assert p["entropy"].inter_login_min == 20.0 and p["entropy"].unique_ips == 2
 
 
-def test_ties_are_rounded_half_even(portal):
-    rows = [{"status": "failed"}] + [{}] * 31
-    assert one(portal_features(portal(rows))).failed_login_ratio == 0.0312
+def test_ties_are_rounded_half_even(p):
+    assert p["tie"].failed_login_ratio == 0.0312
 
 
-def test_trading_boundaries(trades):
-    rows = [{"duration_min": d} for d in (0.49, 0.50, 0.99, 1.00)]
-    row = one(trading_features(trades(rows)))
+def test_trading_boundaries(t):
+    row, single = t["fast"], t["single"]
     assert row.pct_sub_30s_trades == 0.25 and row.pct_sub_minute_trades == 0.75
     assert row.lot_zscore_max == 0 and row.std_lot_size == 0 and row.trades_per_day == 4.0
-    single = one(trading_features(trades([{"pnl": -3.0}])))
     assert single.std_pnl == 0 and single.max_single_win == -3.0 and single.instrument_entropy == 0
 
 
-def test_zero_pnl_breaks_a_streak(trades):
-    rows = [{"pnl": p, "open_ts": at(minutes=i)} for i, p in enumerate([1.0, 1.0, 0.0, 1.0, 1.0, 1.0, -1.0])]
-    assert one(trading_features(trades(rows))).consecutive_wins_max == 3
+def test_zero_pnl_breaks_a_streak(t):
+    assert t["streak"].consecutive_wins_max == 3
 
 
-def test_weekend_ratio(trades):
-    rows = [{"open_ts": at(days=d)} for d in range(7)]
-    assert one(trading_features(trades(rows))).weekend_trade_ratio == round(2 / 7, 4)
+def test_weekend_ratio(t):
+    assert t["weekend"].weekend_trade_ratio == round(2 / 7, 4)
 
 
 @pytest.mark.parametrize("rows_per_part", [3, 1_000_000])

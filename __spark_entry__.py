@@ -77,7 +77,7 @@ def _login_gaps(spark, d) -> DataFrame:
 
 def _rolling(spark, d) -> DataFrame:
     recent = F.col("recent")
-    return (portal.recent_days(portal_view(spark, d), "timestamp", ["event_type"]).groupBy(KEY).agg(
+    return (portal.recent_days(portal_view(spark, d), "timestamp", "event_id", ["event_type"]).groupBy(KEY).agg(
         F.count_if(recent & portal.login()).alias("rolling_7d_logins"),
         F.count_if(recent & portal.deposit()).alias("rolling_7d_deposits"),
         F.count_if(recent & portal.withdrawal()).alias("rolling_7d_withdrawals")))

@@ -94,12 +94,9 @@ def merge_names(first: Column, second: Column, k: int = 5) -> Column:
     return F.slice(F.array_distinct(F.concat(first, second)), 1, k)
 
 
-def feature_array(columns: Sequence[str], feature_map: str | None = None) -> Column:
-    """Feature vector in fixed order; missing, NaN and infinite entries are 0."""
-    if feature_map is None:
-        return F.array(*[finite_or_zero(F.col(c).cast("double")) for c in columns])
-    return F.array(*[finite_or_zero(F.try_element_at(F.col(feature_map), F.lit(c)).cast("double"))
-                     for c in columns])
+def features_of_map(feature_map: str, names: Sequence[str]) -> list[Column]:
+    """The entries of a map as columns in fixed order; missing, NaN and infinite entries are 0."""
+    return [finite_or_zero(F.try_element_at(F.col(feature_map), F.lit(c)).cast("double")).alias(c) for c in names]
 
 
 def fixed(value: Column, digits: int, grouped: bool = False) -> Column:

@@ -92,12 +92,15 @@ def last_seen(events: DataFrame, ts: str) -> DataFrame:
                                    F.max(F.unix_micros(ts)).alias("last_us"))
 
 
-def recent_days(events: DataFrame, ts: str, kept: list[str], days: int = 7,
+def recent_days(events: DataFrame, ts: str, row_id: str, kept: list[str], days: int = 7,
                 rows_per_part: int = ROWS_PER_PART) -> DataFrame:
-    """Events with `recent`: within `days` days before the user's own last event, inclusive."""
-    return (attach_per_key(events.select(KEY, ts, *kept), last_seen(events, ts), KEY, "n_events",
-                           [ts, *kept], rows_per_part)
-            .withColumn("recent", F.unix_micros(ts) >= F.col("last_us") - F.lit(days * DAY_US)))
+    """Events with `recent`: within `days` days before the user's own last event, inclusive.
+
+    Heavy users are spread by `row_id`: times and values alone may repeat too often for that.
+    """
+    return (attach_per_key(events.select(KEY, ts, row_id, *kept), last_seen(events, ts), KEY, "n_events",
+                           [row_id], rows_per_part)
+            .drop(row_id).withColumn("recent", F.unix_micros(ts) >= F.col("last_us") - F.lit(days * DAY_US)))
 
 
 def diversity(events: DataFrame) -> DataFrame:
@@ -133,7 +136,7 @@ def portal_features(events: DataFrame, burst_minutes: int = BURST_MINUTES,
                     kyc_hours: int = KYC_HOURS, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """One row per user with the 27 features and the label."""
     recent = F.col("recent")
-    base = (recent_days(events, "timestamp", ["event_type", "status", "amount", "anomaly_flag"],
+    base = (recent_days(events, "timestamp", "event_id", ["event_type", "status", "amount", "anomaly_flag"],
                         rows_per_part=rows_per_part)
             .groupBy(KEY).agg(
                 *[c.alias(n) for n, c in base_aggregates().items()],

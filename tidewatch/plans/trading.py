@@ -94,7 +94,7 @@ def win_streaks(trades: DataFrame, rows_per_part: int = ROWS_PER_PART) -> DataFr
 def trading_features(trades: DataFrame, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """One row per user with the 29 features and the label."""
     recent = F.col("recent")
-    base = (recent_days(trades, "open_ts",
+    base = (recent_days(trades, "open_ts", "trade_id",
                         ["lot_size", "pnl", "duration_min", "margin_used", "anomaly_flag"],
                         rows_per_part=rows_per_part)
             .groupBy(KEY).agg(

@@ -141,8 +141,7 @@ def _risk_levels(spark, d) -> DataFrame:
 
 
 def _wanted(spark, d) -> DataFrame:
-    return (spark.read.parquet(f"{d}/customer.parquet").where(F.col("c_acctbal") > 9900)
-            .select(F.col("c_custkey").alias(KEY)))
+    return spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").alias(KEY))
 
 
 def _hits(spark, d) -> DataFrame:
@@ -247,11 +246,12 @@ def _lof(spark, d) -> DataFrame:
 
 
 def _nn_lof(spark, d) -> DataFrame:
-    """Vectors of the odd labels take the factor of their nearest neighbour among the even ones."""
+    """Every vector, moved a little, takes the factor of its nearest neighbour among all vectors."""
     vectors = _embeddings(spark, d)
-    points = cut_lineage(density.outlier_factors(vectors.where("label % 2 = 0"), 64), "lof")
-    taken = density.adopt_factors(vectors.where("label % 2 = 1"), points, 64)
-    return taken.select(F.col("id").alias("vec_id"), rounded(F.col("lof"), 6).alias("lof"))
+    points = cut_lineage(density.outlier_factors(vectors, 64), "lof")
+    moved = vectors.select("id", F.transform("x", lambda v: v * 0.75 + 0.125).alias("x"))
+    return (density.adopt_factors(moved, points, 64)
+            .select(F.col("id").alias("vec_id"), rounded(F.col("lof"), 6).alias("lof")))
 
 
 def _iforest(spark, d) -> DataFrame:

@@ -396,11 +396,11 @@ def oracle_sql() -> dict[str, str]:
              when ensemble_score >= 0.55 then 'MEDIUM' when ensemble_score >= 0.30 then 'LOW' else 'NORMAL' end as response_level,
            count(*) as n from scored group by all""")
     out["batch_lookup_hits"] = sql(
-        STORE_ALL, "select user_id, t_total_trades, is_anomalous from store where user_id in (select c_custkey from customer where c_acctbal > 9900)")
+        STORE_ALL, "select user_id, t_total_trades, is_anomalous from store where user_id in (select c_custkey from customer)")
     out["batch_lookup_misses"] = sql(
         [PORTAL, burst(), kyc(), GAPS, ENTROPY, PORTAL_RAW, PORTAL_FEAT],
         """select c_custkey as user_id, 'User ''' || c_custkey || ''' not found in feature store' as error
-           from customer where c_acctbal > 9900 and c_custkey not in (select user_id from portal_feat)""")
+           from customer where c_custkey not in (select user_id from portal_feat)""")
     out["event_envelope"] = sql(
         [PORTAL, TRADE],
         """select 'forex.portal.events' as topic, cast(user_id as varchar) as key, 'portal' as source, event_id as id, epoch_us(ts) as at_us from portal
@@ -424,11 +424,12 @@ def oracle_sql() -> dict[str, str]:
     out["model_comparison"] = sql([*STORE_ALL, SCORED, SCORE_SERIES, METRICS], "")
     out["lof_scores"] = sql(lof("true"), f"select id as vec_id, {r('lof', 6)} as lof, lof > 1.5 as is_outlier from lof")
     out["nn_lof"] = sql(
-        lof("label % 2 = 0"),
-        f"""select q.vec_id, {r('lof.lof', 6)} as lof from (
-              select e.vec_id, ref.id from embeddings e join ref on true where e.label % 2 = 1
-              qualify row_number() over (partition by e.vec_id
-                order by array_distance(cast(e.embedding as double[64]), ref.x), ref.id) = 1) q join lof on lof.id = q.id""")
+        [*lof("true"), """
+moved as materialized (select id, cast(list_transform(cast(x as double[]), lambda v: v * 0.75 + 0.125) as double[64]) as x from ref)"""],
+        f"""select q.id as vec_id, {r('lof.lof', 6)} as lof from (
+              select m.id, ref.id as nearest from moved m join ref on true
+              qualify row_number() over (partition by m.id order by array_distance(m.x, ref.x), ref.id) = 1) q
+            join lof on lof.id = q.nearest""")
     parts = " union all ".join(
         f"select user_id, '{c}' as f, {i} as i, abs(({c} - avg({c}) over ()) / (stddev_pop({c}) over () + 1e-9)) as z from store"
         for i, c in enumerate(EXPLAINED))

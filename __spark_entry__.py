@@ -25,6 +25,13 @@ from tidewatch.sources import envelope, lookup  # noqa: E402
 from tidewatch.sources.bridge import portal_columns, portal_view, trade_columns, trade_view  # noqa: E402
 from tidewatch.streaming import buffers, scoring  # noqa: E402
 
+try:  # the llm operators can be removed as a whole
+    from tidewatch.llm import queries as llm_queries  # noqa: E402
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("tidewatch.llm", "corpus_pipeline")):
+        raise
+    llm_queries = None
+
 AS_OF = datetime(2024, 7, 1)
 # The driver's events are too sparse for the 60-minute and 4-hour frames to fire.
 WINDOWS = {"burst_minutes": 24 * 60, "kyc_hours": 24}
@@ -375,9 +382,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "score_feature_maps": _score_maps,
         "stream_features": _stream_features,
         "stream_alerts": _stream_alerts,
+        **(llm_queries.queries() if llm_queries else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     known = queries()
-    return {name: text for name, text in oracles.oracle_sql().items() if name in known}
+    texts = oracles.oracle_sql() | (llm_queries.oracle_sql() if llm_queries else {})
+    return {name: text for name, text in texts.items() if name in known}

@@ -1,0 +1,383 @@
+"""The llm operators against brute force, on small tables with the awkward rows."""
+
+import hashlib
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tests.llm import brute
+from tidewatch.llm import hnsw, html, jaccard, mixing, ngrams, phrases, quality, secrets, sharding, substrings, text, toxicity
+from tidewatch.llm.graph import components
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+WORDS = [a + b + c for a in ("th", "er", "on", "ü", "qu") for b in ("a", "in", "es") for c in ("", "ble", "ñ")]
+
+
+def passage(seed, n):
+    pick = random.Random(seed)
+    return " ".join(pick.choice(WORDS) for _ in range(n))
+
+
+def changed(base, seed, every):
+    pick, w = random.Random(seed), base.split()
+    for i in range(0, len(w), every):
+        w[i] = pick.choice(WORDS) + str(seed)
+    return " ".join(w)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    shared, base = passage(1, 60), passage(2, 200)
+    texts = [None, "", "  \t\n ", "one", "one two three", "One two THREE", shared, f"{passage(3, 50)} {shared}\n{passage(4, 40)}",
+             f"{shared.upper()} {passage(5, 10)}", base, base, base.replace(" ", "\n"), "la " * 120, "la " * 40,
+             f"{passage(6, 4000)} {shared} {passage(7, 4000)}", passage(8, 34), passage(8, 34), passage(9, 35), passage(9, 35)]
+    texts += [changed(base, s, every) for s, every in ((1, 90), (2, 60), (3, 40), (4, 20), (5, 10), (6, 70), (7, 70))]
+    found = [(i, t) for i, t in enumerate(texts)]
+    return found + [(9, base), (9, base), (None, base), (None, passage(10, 50)), (5, None), (5, passage(11, 12))]
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    """Extra columns carry the names that the operators use inside."""
+    return spark.createDataFrame([(i, t, "en", f"s{k % 3}" if k % 7 else None, 0) for k, (i, t) in enumerate(rows)], DOCS).selectExpr(
+        "*", "'x' as text_key", "1 as row", "2 as size", "3 as key", "4 as shard", "5 as slot", "6 as component", "7 as name")
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def found(df, *names):
+    return Counter(tuple(r[n] for n in names) for r in df.collect())
+
+
+def test_words_and_hashes():
+    w = text.words([b"a bb  ccc", None, b"", "\tü d\n".encode()])
+    assert [w.data[s:e].decode() for s, e in zip(w.start, w.end)] == ["a", "bb", "ccc", "ü", "d"]
+    assert w.first.tolist() == [0, 3, 3, 3, 5]
+    other = text.words([b"xx bb d"])
+    assert w.hashes()[1] == other.hashes()[1] and w.hashes()[4] == other.hashes()[2]
+    h = np.array([5, 6, 7, 5, 6, 7], np.uint64)
+    got = text.sequence_hashes(h, np.array([0, 3, 1]), np.array([3, 6, 4]))
+    assert got[0] == got[1] != got[2]
+
+
+def test_components(spark):
+    links = [(i, i + 1) for i in range(1, 60)] + [(100, k) for k in range(101, 140)] + [(7, 7), (None, 3), (139, 200), (200, 139)]
+    got = {r["id"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**{i: 1 for i in range(1, 61)}, **{i: 100 for i in [*range(100, 140), 200]}}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_repeats(docs, rows, none):
+    got = substrings.remove_repeats(docs).withColumn("sha", F.sha2("kept_text", 256))
+    assert found(got, "doc_id", "n_words", "n_removed", "sha") == Counter(brute.repeats(rows))
+    assert substrings.remove_repeats(none).count() == 0
+
+
+def test_repeats_of_hot_anchors(docs, rows, monkeypatch):
+    monkeypatch.setattr(substrings, "HOT_WORDS", 60)
+    monkeypatch.setattr(substrings, "SHARD_WORDS", 200)
+    got = substrings.remove_repeats(docs).withColumn("sha", F.sha2("kept_text", 256))
+    assert found(got, "doc_id", "n_words", "n_removed", "sha") == Counter(brute.repeats(rows))
+
+
+def test_automaton_counts():
+    pick = random.Random(3)
+    sequences = [[pick.randrange(3) for _ in range(pick.randrange(5, 30))] for _ in range(12)]
+    automaton = substrings.SuffixAutomaton()
+    for k, s in enumerate(sequences):
+        automaton.add(s, 1 + k % 2)
+    automaton.close()
+    count = Counter()
+    for k, s in enumerate(sequences):
+        for i in range(len(s) - 4 + 1):
+            count[tuple(s[i:i + 4])] += 1 + k % 2
+    for s in sequences:
+        want = [i for i in range(len(s) - 3) if count[tuple(s[i:i + 4])] > 1]
+        assert [i for a, b in automaton.repeated(s, 4) for i in range(a, b + 1)] == want
+
+
+ITEMS = [(1, passage(1, 25)), (2, "Three four"), (3, None), (4, "--"), (5, passage(2, 12)), (None, passage(2, 12)), (12, passage(3, 10)), (12, "one two three")]
+
+
+def test_contamination(spark, docs, rows, none):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    got = Counter((r["doc_id"], r["n_words"], len(r["hits"]), tuple(r["items"])) for r in phrases.contamination(docs, items).collect())
+    want = Counter((i, n, h, tuple(x for x in names if x != "None")) for i, n, h, names in brute.contamination(rows, ITEMS))
+    assert got == want
+    assert found(phrases.contamination(docs, items.limit(0)).select(F.size("hits").alias("n")), "n") == Counter({(0,): len(rows)})
+    assert phrases.contamination(none, items).count() == 0
+
+
+def test_blocks_of_items_give_the_same(spark, docs, rows):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    keyed = text.keyed(text.narrow(docs))
+    whole, cut = (phrases.phrase_matches(keyed, items.selectExpr("cast(item_id as string) item_id", "text"), block_words=b) for b in (10_000, 5))
+    assert sorted(map(str, whole.collect())) == sorted(map(str, cut.collect()))
+
+
+def test_proximity(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    near = "alpha beta gamma x delta epsilon zeta eta theta iota kappa"
+    docs = spark.createDataFrame([(1, near), (2, "alpha beta " + "x " * 20 + "gamma delta")], "doc_id long, text string")
+    got = phrases.contamination(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+    assert {r["doc_id"]: (r["items"], r["near_items"]) for r in got} == {1: ([], ["7"]), 2: ([], [])}
+
+
+def test_jaccard(docs, rows, none):
+    assert found(jaccard.jaccard_components(docs), "doc_id", "n_shingles", "component_id") == Counter(brute.jaccard(rows))
+    assert jaccard.jaccard_components(none).count() == 0
+
+
+def test_jaccard_of_a_large_group(spark):
+    base = passage(20, 120)
+    rows = [(i, changed(base, i, 14 + i % 60)) for i in range(150)] + [(200 + i, passage(30 + i, 80)) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(jaccard.jaccard_components(docs), "doc_id", "n_shingles", "component_id") == Counter(brute.jaccard(rows))
+
+
+def test_one_of_each(docs, rows):
+    kept = jaccard.one_of_each(docs)
+    assert kept.columns == docs.columns
+    wordless = Counter((i, t) for i, t in rows if not brute.shingles(t))
+    got = found(kept, "doc_id", "text")
+    assert wordless == Counter({k: v for k, v in got.items() if not brute.shingles(k[1])})
+    groups = {c for (i, n, c) in brute.jaccard(rows) if n}
+    assert sum(v for k, v in got.items() if brute.shingles(k[1])) == len(groups) + 1  # and the text of null id that is alone
+
+
+VECTOR_ROWS = [(1, [1.0, 0.0, 0.0]), (2, [2.0, 0.1, 0.0]), (3, [0.0, 1.0, 0.0]), (4, None), (5, []), (6, [0.0, 0.0, 0.0]),
+               (7, [float("nan"), 1.0, 0.0]), (8, [float("inf"), 1.0, 0.0]), (9, [None, 1.0, 0.0]), (10, [1.0, 0.0, 0.0]),
+               (None, [0.0, 1.0, 0.1]), (11, [1.0, 0.0]), (12, [0.9, 0.1]), (1, [1.0, 0.0, 0.0]), (13, [0.0, -1.0, 0.0])]
+
+
+def test_vectors(spark):
+    pick = np.random.default_rng(5)
+    centre = pick.standard_normal(24)
+    near = [centre + 0.15 * pick.standard_normal(24) for _ in range(120)] + [pick.standard_normal(24) for _ in range(300)]
+    rows = VECTOR_ROWS + [(100 + i, [float(x) for x in v]) for i, v in enumerate(near)] + [(900 + i, [float(x) for x in near[0]]) for i in range(30)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("v", F.lit(1)).withColumn("node", F.lit(2))
+    got, want = found(hnsw.near_vectors(table), "vec_id", "n_links", "component_id", "kept"), Counter(brute.vectors(rows))
+    links = lambda c: sum(k[1] * v for k, v in c.items())
+    assert links(got) >= 0.97 * links(want)
+    assert Counter((k[0], k[2]) for k in got.elements()) == Counter((k[0], k[2]) for k in want.elements())
+    assert hnsw.near_vectors(table.limit(0)).count() == 0
+
+
+def test_graph_recall():
+    pick = np.random.default_rng(2)
+    x = pick.standard_normal((3000, 32))
+    x[:200] = x[0] + 0.1 * x[:200]
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    graph = hnsw.Graph(x[pick.permutation(len(x))])
+    q, v = graph.links(graph.x, 0.95, hnsw.audited_beam(graph, 0.95, 0.99))
+    true = int((graph.x @ graph.x.T >= 0.95).sum())
+    assert len(q) == len(set(zip(q.tolist(), v.tolist()))) and 0.99 * true <= len(q) <= true
+
+
+def test_targets(spark):
+    sizes = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 20), (None, 30), ("d", 0)], "source string, size long")
+    got = {r["source"]: (r["source_size"], r["target"]) for r in mixing.source_targets(sizes).collect()}
+    weights, caps = {"a": 5, "b": 2, "c": 1, "d": 5, None: 2}, {k: 3 * v[0] for k, v in got.items()}
+    target, full = dict.fromkeys(weights, 0.0), set()
+    while True:  # share, cap, share the excess again
+        left = 1060 - sum(caps[k] for k in full)
+        total = sum(w for k, w in weights.items() if k not in full)
+        target = {k: float(caps[k]) if k in full else left * w / total for k, w in weights.items()}
+        over = {k for k in weights if target[k] > caps[k]}
+        if not over:
+            break
+        full |= over
+    assert {k: v[1] for k, v in got.items()} == pytest.approx(target)
+
+
+def test_mix(spark, docs, none):
+    pick = random.Random(4)
+    rows = [(i, passage(i, int(pick.paretovariate(0.9) * 8) % 700), "x", ["a", "b", "c", None][min(pick.randrange(7), 3)], 0) for i in range(600)]
+    table = spark.createDataFrame(rows, DOCS)
+    got = mixing.mixed(table).collect()
+    assert len(got) == 600 and all(r["taken"] % r["size"] == 0 and r["taken"] <= 3 * r["size"] for r in got if r["size"])
+    for source in ("a", "b", "c", None):
+        own = [r for r in got if r["source"] == source]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 0.02 * own[0]["target"] + 5
+        low = math.floor(own[0]["target"] / own[0]["source_size"])
+        assert {r["copies"] for r in own} <= {low, low + 1}
+    again = mixing.mixed(table.repartition(7)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+    mixed = mixing.mix_rows(docs)
+    assert mixed.columns == docs.columns
+    taken = Counter()
+    for r in mixing.mixed(docs).collect():
+        taken[r["doc_id"]] += r["copies"]
+    assert Counter(r["doc_id"] for r in mixed.collect()) == +taken
+    assert mixing.mixed(none).count() == 0 and mixing.mix_rows(none).count() == 0
+
+
+def test_inclusion_follows_the_odds(spark):
+    """Over many draws a document of source b is taken as often as its target asks."""
+    rows = [(i, f"w{i} x", "x", "ab"[i % 2], 0) for i in range(4000)]
+    got = mixing.mixed(spark.createDataFrame(rows, DOCS))
+    share = {r["source"]: r["c"] for r in got.groupBy("source").agg(F.avg("copies").alias("c")).collect()}
+    assert share["a"] == pytest.approx(10 / 7, abs=0.01) and share["b"] == pytest.approx(4 / 7, abs=0.01)
+
+
+def plain_table(shards, slots):
+    number = lambda s, n: int(hashlib.md5(s.encode()).hexdigest()[:n], 16)
+    orders = []
+    for s in range(shards):
+        offset, stride = number(f"offset:{s}", 8) % slots, 1 + number(f"stride:{s}", 8) % (slots - 1)
+        orders.append(sorted(range(slots), key=lambda c: (c - offset) * stride % slots))
+    taken, at = {}, [0] * shards
+    while len(taken) < slots:
+        for s in range(shards):
+            while at[s] < slots and orders[s][at[s]] in taken:
+                at[s] += 1
+            if at[s] < slots:
+                taken[orders[s][at[s]]] = s
+    return taken
+
+
+def test_lookup_table(spark):
+    got = {r["slot"]: r["shard"] for r in sharding.lookup_table(spark, 7, 211).collect()}
+    assert got == plain_table(7, 211)
+    fewer = {r["slot"]: r["shard"] for r in sharding.lookup_table(spark, 6, 211).collect()}
+    assert sum(got[c] != fewer[c] for c in got if got[c] != 6) < 0.2 * 211
+    with pytest.raises(ValueError):
+        sharding.lookup_table(spark, 7, 210)
+
+
+def test_placed(docs, rows, none):
+    got = sharding.placed(docs, shards=5, slots=101)
+    assert set(got.columns) == set(docs.columns) and got.count() == len(rows)
+    table = plain_table(5, 101)
+    for r in got.collect():
+        slot = int(hashlib.md5(("" if r["doc_id"] is None else str(r["doc_id"])).encode()).hexdigest()[:13], 16) % 101
+        assert (r["slot"], r["shard"]) == (slot, table[slot])
+    assert sharding.placed(none).count() == 0
+
+
+SECRET_TEXTS = [None, "", "password=abc12", "Password: 'abc123' secret=token:abcdefgh apiKEY = \"A.b-c/d=e\"", "ſecret=abcdefgh toKen=abcdefgh",
+                "AKIA" + "A" * 15 + " AKIA" + "B" * 16 + "AKIA" + "C" * 16, "0123456789abcdef01234567 0123456789ABCDEF01234567 f" * 3,
+                "é" * 5 + "token==" + "x" * 7 + " d41d8cd98f00b204e9800998ecf8427e", "tok=" + "x" * 100 + "ü passwd='" + "q" * 6]
+
+
+def test_secrets(spark, none):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(SECRET_TEXTS)], "doc_id long, text string")
+    got = secrets.scan_secrets(docs)
+    assert found(got, "doc_id", "n_assign", "n_access", "n_hex", "base") == Counter((i, *brute.secrets(t)) for i, t in enumerate(SECRET_TEXTS))
+    assert secrets.scan_secrets(none).count() == 0
+
+
+def test_secrets_by_tokens(spark):
+    texts = ["key zX9qL2vB7nRt4KpW8yHd here", "the internationalization-of-telecommunications-infrastructure", "d41d8cd98f00b204e9800998ecf8427e",
+             "123e4567-e89b-12d3-a456-426614174000", "2024-01-01/2024-12-31/00000", "unglicheinheitkeitzu"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: r["n_token"] for r in secrets.scan_secrets(docs).collect()} == {0: 1, 1: 0, 2: 0, 3: 0, 4: 0, 5: 0}
+    assert "token:4:24" in secrets.scan_secrets(docs).where("doc_id = 0").first()["spans"]
+
+
+def page(body, host="a.example", n=0):
+    return (n, f"http://{host}/{n}", f"<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head><body>{body}</body></html>")
+
+
+def test_main_text(spark):
+    menu = "<nav><ul><li><a href='/x'>Home</a></li></ul></nav><div class='cookie-notice'>We use cookies</div>"
+    end = "<section id=comments><p>First! A long comment by a reader that goes on and on.</p></section><footer>&copy; me</footer>"
+    rows = [page(f"{menu}<div class='post-{n} entry'><h1>Title {n}</h1><p>Text &amp; <b>bo</b>ld {n}.<br>More<p>Next&nbsp;one</div>"
+                 f"<div class='side'><p>{'Other words here ' * n}</p></div>{end}", n=n) for n in range(1, 6)]
+    rows += [(10, None, "<p>alone</p>"), (11, "not a url", None), (12, "http://a.example/", ""), (13, "http://c.example", "<p>cut <b>off &am"),
+             (14, "http://d.example", "<script>var a = '<p>no</p>'</script><article><header><h1>Head</h1><p>by me</p></header>"
+                                      "<p>Body<!-- <p>no</p> --> text</p><form><p>no</p></form></article><aside>no</aside>"), rows_twice(rows)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit("x"))
+    got = {r["page_id"]: (r["text"], r["n_chars"]) for r in html.extract_pages(table).collect()}
+    for n in range(1, 6):
+        assert got[n][0] == f"Title {n} Text & bold {n}. More Next one"
+    assert got[10][0] == "alone" and got[11] == got[12] == ("", 0) and got[13][0] == "cut off &am" and got[14][0] == "Head Body text"
+    assert html.extract_pages(table).count() == len(rows) and html.extract_pages(table.limit(0)).count() == 0
+
+
+def rows_twice(rows):
+    return rows[0]
+
+
+def labelled(spark, make, n=400):
+    rows = [(i, make(i, i % 3 == 0), "x", "s", 0) for i in range(n)]
+    extra = [(None, "x", "x", "s", 0), (9001, None, "x", "s", 0), (9002, "", "x", "s", 0), (9003, "w " * 30_000, "x", "s", 0), (0, "again", "x", "s", 0)]
+    labels = [(i, int(i % 3 != 0), int(i % 3 == 0)) for i in range(n)] + [(None, 1, 0), (5, None, None), (7, 0, 1), (9001, 1, 1)]
+    return spark.createDataFrame(rows + extra, DOCS), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_toxicity(spark, none):
+    def make(i, bad):
+        w = passage(i, 40 + i % 200).split()
+        return " ".join(w[:20] + ["vequ" + w[3] if i % 2 else "IdiotS"] * bad + w[20:])
+
+    docs, labels = labelled(spark, make)
+    got = toxicity.toxicity(docs, labels).collect()
+    assert len(got) == 405 and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in got)
+    held = [r for r in got if r["held_out"] and r["doc_id"] not in (7,) and r["doc_id"] is not None and r["doc_id"] < 9000]
+    assert len(held) > 90 and np.mean([r["predicted"] == (r["doc_id"] % 3 == 0) for r in held if r["doc_id"] != 0]) > 0.95
+    kept = toxicity.clean_rows(docs, labels)
+    assert kept.columns == docs.columns and Counter(r["doc_id"] for r in kept.collect()) == Counter(r["doc_id"] for r in got if not r["predicted"])
+    assert toxicity.toxicity(none, labels).count() == 0
+    assert {r["predicted"] for r in toxicity.toxicity(docs, labels.limit(0)).collect()} == {0}
+    assert {r["predicted"] for r in toxicity.toxicity(docs, labels.where("toxic = 0")).collect()} == {0}
+
+
+def test_quality(spark, none):
+    def make(i, bad):
+        t = passage(i, 40 + i % 200)
+        return (t.upper().replace(" ", "!! ") if i % 2 else t.replace(" ", "$$$ ")) if bad else t
+
+    docs, labels = labelled(spark, make)
+    got = quality.quality(docs, labels).collect()
+    held = [r for r in got if r["held_out"] and r["doc_id"] not in (0, 7) and r["doc_id"] < 9000]
+    assert len(got) == 405 and len(held) > 70 and np.mean([r["predicted"] == (r["doc_id"] % 3 != 0) for r in held]) > 0.95
+    assert quality.quality(none, labels).count() == 0
+    assert {r["score"] for r in quality.quality(docs, labels.limit(0)).collect()} == {0.5}
+
+
+def test_gram_counts():
+    g = ngrams.word_grams([b"aba aba", "Ü".encode(), None], (2, 3), 1 << 16, lower=True)
+    text_, bucket, n = ngrams.text_features(g, once=False)
+    assert np.bincount(text_, n, minlength=3).tolist() == [14, 3, 0]  # 4 + 3 grams of " aba " twice, 2 + 1 of " ü "
+    assert ngrams.text_features(ngrams.word_grams([b"\xc3\xbc"], (2, 3), 1 << 16, lower=True), once=False)[1].tolist() == sorted(
+        bucket[text_ == 1].tolist())
+
+
+def test_pipeline(spark, tmp_path):
+    def make(i, bad):
+        w = passage(i, 60 + i % 90).split()
+        return " ".join(w[:20] + (["vequ" + w[3], "moron"] if bad else []) + w[20:])
+
+    docs, labels = labelled(spark, make)
+    docs = docs.where("doc_id < 400 or doc_id is null").dropDuplicates(["doc_id"])
+    copies = docs.where("doc_id % 10 = 1").withColumn("doc_id", F.col("doc_id") + 1000)
+    docs = docs.unionByName(copies).withColumn("source", F.concat(F.lit("s"), (F.col("doc_id") % 4).cast("string")))
+    item = " ".join(make(2, False).split()[30:45])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    now = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    states = []
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, now, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        now = spark.read.parquet(f"{tmp_path}/{name}")
+        states.append(now)
+        if name != "sharding":
+            assert now.columns == docs.columns
+    ids = [Counter(r["doc_id"] for r in s.collect()) for s in states]
+    assert 3 not in ids[0] and 1 in ids[0] and 1001 in ids[0]
+    assert 1 in ids[1] and 1001 not in ids[1]
+    assert 2 in ids[1] and 2 not in ids[2] and len(ids[1]) - len(ids[2]) == 1
+    assert set(ids[3]) <= set(ids[2]) and max(ids[3].values()) <= 3
+    assert ids[4] == ids[3] and {"slot", "shard"} <= set(states[4].columns)
+    whole = corpus_pipeline.run(spark, str(tmp_path))
+    assert sorted(map(str, whole.collect())) == sorted(map(str, states[4].collect()))

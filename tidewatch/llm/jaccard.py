@@ -60,18 +60,17 @@ def _set_id(grams: np.ndarray) -> int:
 
 
 def document_sets(docs: DataFrame, n: int = N) -> DataFrame:
-    """(doc_id, n_shingles, set_id) of every row; set_id is null where the set is empty."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.int64())])
+    """(doc_id, text_key, n_shingles, set_id) of every keyed row; set_id is null where the set is empty."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.int64())])
 
     def run(batches):
         for batch in batches:
-            ids = batch.column(0)
             for at, texts in T.chunks(batch.column(1)):
                 sets = [(len(g), _set_id(g) if len(g) else None) for g in _sets(texts, n)]
-                yield T.arrow_batch(schema, {"doc_id": ids.slice(at, len(texts)), "n_shingles": [s[0] for s in sets],
-                                             "set_id": [s[1] for s in sets]})
+                yield T.arrow_batch(schema, {"doc_id": batch.column(0).slice(at, len(texts)), "n_shingles": [s[0] for s in sets],
+                                             "text_key": batch.column(2).slice(at, len(texts)), "set_id": [s[1] for s in sets]})
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, set_id long")
+    return docs.select("doc_id", "text", "text_key").mapInArrow(run, "doc_id long, text_key long, n_shingles long, set_id long")
 
 
 def _incidence(docs: DataFrame, blocks: int, n: int) -> DataFrame:
@@ -237,16 +236,8 @@ def links(rows: DataFrame, per_cent: int = PER_CENT, hub_rounds: int = HUB_ROUND
     return cut_lineage(out.distinct(), "links")
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N,
-                       per_cent: int = PER_CENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id), one row per row of `docs`.
-
-    Words are runs without white space, A-Z lower-cased. Null or empty texts have n_shingles 0 and
-    are alone, as are all rows without a partner: component_id is then their own doc_id (null for a
-    null id). Rows that repeat an id or a text are all kept; component_id is the smallest non-null
-    doc_id among the documents reachable by links. An empty table gives an empty result.
-    """
-    docs = T.narrow(docs, id_col, text_col)
+def document_components(docs: DataFrame, n: int = N, per_cent: int = PER_CENT) -> DataFrame:
+    """(doc_id, text_key, n_shingles, component, component_id) of keyed rows; component is null where the set is empty."""
     shuffles = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sets = cut_lineage(document_sets(docs, n), "sets")
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
@@ -259,6 +250,38 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     least = least.join(joined, least["set_id"] == joined["id"], "left").select("set_id", "least", F.coalesce("component", "set_id").alias("component"))
     least = cut_lineage(least, "classes")
     best = least.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = least.join(best, "component").select("set_id", "component_id")
-    return (sets.join(named, "set_id", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
+    named = least.join(best, "component").select("set_id", "component", "component_id")
+    return sets.join(named, "set_id", "left").select("doc_id", "text_key", "n_shingles", "component",
+                                                     F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N,
+                       per_cent: int = PER_CENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id), one row per row of `docs`.
+
+    Words are runs without white space, A-Z lower-cased. Null or empty texts have n_shingles 0 and
+    are alone, as are all rows without a partner: component_id is then their own doc_id (null for a
+    null id). Rows that repeat an id or a text are all kept; component_id is the smallest non-null
+    doc_id among the documents reachable by links. An empty table gives an empty result.
+    """
+    found = document_components(T.keyed(T.narrow(docs, id_col, text_col)), n, per_cent)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, per_cent: int = PER_CENT) -> DataFrame:
+    """The rows of `docs`, all columns, of which each component of linked texts has one: that of the
+    smallest id (null last), then of the smallest text hash. Of rows that agree in id and text one
+    stays. Texts without words are linked with nothing and all stay."""
+    found = document_components(T.keyed(T.narrow(docs, id_col, text_col)), n, per_cent)
+    stays = found.where("component is not null").groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("stay"))
+    name = lambda a, b: F.xxhash64(F.coalesce(a, F.lit(-1)), b).alias("name")
+    stays = stays.select(name(F.col("stay.doc_id"), F.col("stay.text_key")), F.col("stay.doc_id").alias("stay_id"), F.col("stay.text_key").alias("stay_key"))
+    rows = T.keyed(docs.select(F.struct("*").alias("row"), F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                               F.col(f"`{text_col}`").cast("string").alias("text")))
+    has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    worded = rows.where(has_words).withColumn("name", name(F.col("doc_id"), F.col("text_key")))
+    # the join and the removal of repeated rows share one exchange, by name
+    kept = (worded.join(stays, "name").where(F.col("doc_id").eqNullSafe(F.col("stay_id")) & (F.col("text_key") == F.col("stay_key")))
+            .dropDuplicates(["name", "doc_id", "text_key"]))
+    return kept.select("row.*").unionByName(rows.where(~has_words).select("row.*"))

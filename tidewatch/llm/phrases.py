@@ -225,3 +225,13 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     return counts.join(found, T.same_document(counts, found), "left").select(
         counts["doc_id"], counts["text_key"], "n_words", none("hits", "array<long>"), none("items", "array<string>"),
         none("near_items", "array<string>"))
+
+
+def uncontaminated_rows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
+    """The rows of `docs`, all columns, in which no window of an item occurs word by word."""
+    narrow = T.keyed(T.narrow(docs, id_col, text_col))
+    items = items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
+    found = phrase_matches(narrow, items, size).where(F.size("hits") > 0).select("doc_id", "text_key")
+    rows = T.keyed(docs.select(F.struct("*").alias("row"), F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                               F.col(f"`{text_col}`").cast("string").alias("text")))
+    return rows.join(found, T.same_document(rows, found), "left_anti").select("row.*")

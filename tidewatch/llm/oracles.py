@@ -24,9 +24,9 @@ from doc_words d left join covered c on c.doc_id = d.doc_id left join named n on
 
 VECTORS = r"""
 with recursive usable as (
-  select vec_id, list_transform(embedding, x -> x::double) as v from embeddings
-  where embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
-    and len(list_filter(embedding, x -> x <> 0)) > 0),
+  select vec_id, list_transform(embedding, lambda x: x::double) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
 links as (
   select a.vec_id as a, b.vec_id as b from usable a, usable b
   where a.vec_id <> b.vec_id and list_cosine_similarity(a.v, b.v) >= 0.95),

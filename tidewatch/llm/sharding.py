@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from tidewatch.session import cut_lineage
 
-SHARDS = 32
+SHARDS = 16
 #: A prime, over a hundred times the number of shards.
-SLOTS = 4099
+SLOTS = 2053
 
 
 def _number(text: Column, digits: int) -> Column:
@@ -38,11 +38,10 @@ def lookup_table(spark: SparkSession, shards: int = SHARDS, slots: int = SLOTS)
         (1 + _number(F.concat(F.lit("stride:"), s.cast("string")), 8) % (slots - 1)).alias("stride")))
 
     def turn(state: Column, t: Column) -> Column:
-        order = F.element_at(F.col("orders"), (t % shards + 1).cast("int"))
-        ranked = F.transform(state["free"], lambda c: ((c + slots - order["offset"]) * order["stride"] % slots) * slots + c)
-        pick = F.array(F.array_min(ranked) % slots)  # in an array, so that it is computed once
-        return F.element_at(F.transform(pick, lambda c: F.struct(
-            F.array_remove(state["free"], c).alias("free"), F.array_append(state["picks"], c).alias("picks"))), 1)
+        first = lambda value, f: F.element_at(F.transform(F.array(value), f), 1)  # noqa: E731  computes value once
+        rank = lambda o: F.transform(state["free"], lambda c: (c + slots - o["offset"]) * o["stride"] % slots * slots + c)
+        pick = first(F.element_at("orders", (t % shards + 1).cast("int")), lambda o: F.array_min(rank(o)) % slots)
+        return first(pick, lambda c: F.struct(F.array_remove(state["free"], c).alias("free"), F.array_append(state["picks"], c).alias("picks")))
 
     all_slots = F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long"))
     start = F.struct(all_slots.alias("free"), F.array().cast("array<bigint>").alias("picks"))
@@ -75,8 +74,8 @@ with recursive prefs as (
 fill(t, free, pick) as (
   select 0::bigint, range({SLOTS}), null::bigint
   union all
-  select t + 1, list_filter(free, c -> c != b), b
-  from (select t, free, list_min(list_transform(free, c -> ((c + {SLOTS} - off) * stride % {SLOTS}) * {SLOTS} + c)) % {SLOTS} as b
+  select t + 1, list_filter(free, lambda c: c != b), b
+  from (select t, free, list_min(list_transform(free, lambda c: ((c + {SLOTS} - off) * stride % {SLOTS}) * {SLOTS} + c)) % {SLOTS} as b
         from fill join prefs on prefs.shard = t % {SHARDS} where t < {SLOTS})),
 slots as (select pick as slot, (t - 1) % {SHARDS} as shard from fill where pick is not null)
 select doc_id, slots.slot, shard

@@ -103,13 +103,27 @@ def text_features(g: WordGrams, once: bool) -> tuple[np.ndarray, np.ndarray, np.
     return pair // width, pair % width, n
 
 
+def repeated_words(g: WordGrams) -> np.ndarray:
+    """How many words of each text equal the word before."""
+    text = g.texts.text_of_word()
+    same = (g.distinct[1:] == g.distinct[:-1]) & (text[1:] == text[:-1])
+    return np.bincount(text[1:][same], minlength=len(g.texts.first) - 1)
+
+
 def sample_matrix(texts: list[str | None], **how) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(first, bucket, count, words): features of text i at first[i]:first[i + 1], and the number of its words counted."""
-    once = how.pop("once")
+    """(first, bucket, count, words): features of text i at first[i]:first[i + 1], and the number of its words counted.
+    With repeat_weight, the pair of a word with itself is a feature of its own, in the bucket after the last."""
+    once, weight = how.pop("once"), how.pop("repeat_weight", 0)
     rows, buckets, counts, totals = [], [], [], []
     for at, part in T.chunks(pa.array(texts, pa.string())):
         g = word_grams(part, **how)
         row, bucket, n = text_features(g, once)
+        if weight:
+            again = repeated_words(g)
+            row, bucket, n = (np.r_[row, np.flatnonzero(again)], np.r_[bucket, np.full((again > 0).sum(), how["buckets"])],
+                              np.r_[n, weight * again[again > 0]])
+            order = np.argsort(row, kind="stable")
+            row, bucket, n = row[order], bucket[order], n[order]
         rows.append(row + at)
         buckets.append(bucket)
         counts.append(n)

@@ -1,9 +1,10 @@
 """Quality: supervised subword embeddings, averaged per document, with a softmax output.
 
-Every word and every character n-gram of a word has a learned vector (hashed to a bucket). A
-document is the mean of the vectors of all its words and n-grams; a softmax over its product with two
-output vectors gives the classes. Both are trained by numpy stochastic gradient descent with a step
-size per vector that shrinks with its past gradients.
+Every word and every character n-gram of a word has a learned vector (hashed to a bucket), and so has
+the pair of a word with itself, whichever word it is. A document is the mean of the vectors of all its
+words and n-grams; a softmax over its product with two output vectors gives the classes. Both are
+trained by numpy stochastic gradient descent with a step size per vector that shrinks with its past
+gradients.
 
 Learning uses a bounded labelled sample in one task. For scoring, each bucket's vector is reduced to
 its part of the logit, one number, so that the executors get 8 bytes a bucket and add up words.
@@ -18,29 +19,31 @@ from pyspark.sql import DataFrame
 from tidewatch.llm import ngrams as G
 from tidewatch.llm import text as T
 
-SIZES = (1, 2, 3, 4)
+SIZES = (1, 2, 3)
 BUCKETS = 1 << 18
 DIMENSIONS = 8
-PER_CLASS = 1500
+PER_CLASS = 1200
 MOST_CHARS = 100_000
 MODULUS, HELD_OUT = 4, 2
 AT_LEAST = 0.7
-EPOCHS = 8
+EPOCHS = 6
 BATCH = 32
 RATE = 0.3
-FORM = {"sizes": SIZES, "buckets": BUCKETS, "lower": False, "whole_words": True, "once": False}
+FORM = {"sizes": SIZES, "buckets": BUCKETS, "lower": False, "whole_words": True}
+#: A repeated word counts like so many n-grams, about as many as a word has.
+REPEAT_WEIGHT = 10
 
 
 def fit(labels: np.ndarray, texts: list[str]) -> tuple[np.ndarray, float]:
     """(logit part of each bucket, intercept)."""
     good = labels == 1
     if not len(labels) or good.all() or not good.any():
-        return np.zeros(BUCKETS), 0.0 if not len(labels) else 6.0 if good.all() else -6.0
-    first, bucket, count, _ = G.sample_matrix(texts, **FORM)
+        return np.zeros(BUCKETS + 1), 0.0 if not len(labels) else 6.0 if good.all() else -6.0
+    first, bucket, count, _ = G.sample_matrix(texts, once=False, repeat_weight=REPEAT_WEIGHT, **FORM)
     random = np.random.default_rng(7)
-    embedding = random.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS))
+    embedding = random.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS + 1, DIMENSIONS))
     output, bias = np.zeros((DIMENSIONS, 2)), np.zeros(2)
-    e_past, o_past, b_past = np.full(BUCKETS, 1e-8), np.full((DIMENSIONS, 2), 1e-8), np.full(2, 1e-8)
+    e_past, o_past, b_past = np.full(BUCKETS + 1, 1e-8), np.full((DIMENSIONS, 2), 1e-8), np.full(2, 1e-8)
     truth = np.stack([~good, good], axis=1).astype(float)
     balance = np.where(good, 0.5 / good.mean(), 0.5 / (~good).mean())
     total = np.maximum(np.add.reduceat(np.r_[count, 0], np.minimum(first[:-1], len(count))) * (np.diff(first) > 0), 1)
@@ -72,14 +75,15 @@ def fit(labels: np.ndarray, texts: list[str]) -> tuple[np.ndarray, float]:
 
 def score(model: tuple[np.ndarray, float], texts: list[bytes | None]) -> np.ndarray:
     parts, intercept = model
-    g = G.word_grams(texts, **{k: v for k, v in FORM.items() if k != "once"})
+    g = G.word_grams(texts, **FORM)
     of_word = np.bincount(g.word, parts[g.bucket], minlength=g.n_distinct)
     grams = np.bincount(g.word, minlength=g.n_distinct)
     text, word = G.text_words(g, once=False)
     if not len(text):
         return np.full(len(texts), G.sigmoid(np.array(intercept)))
     total, n = (np.bincount(text, v[word], minlength=len(texts)) for v in (of_word, grams))
-    return G.sigmoid(total / np.maximum(n, 1) + intercept)
+    again = REPEAT_WEIGHT * G.repeated_words(g)
+    return G.sigmoid((total + again * parts[BUCKETS]) / np.maximum(n + again, 1) + intercept)
 
 
 def train(sample: DataFrame) -> tuple[np.ndarray, float]:
@@ -91,7 +95,7 @@ def train(sample: DataFrame) -> tuple[np.ndarray, float]:
         return pa.table({"parts": pa.array([parts.tobytes()], pa.binary()), "intercept": [intercept]})
 
     made = sample.groupBy().applyInArrow(run, "parts binary, intercept double").first()
-    return (np.zeros(BUCKETS), 0.0) if made is None else (np.frombuffer(bytes(made["parts"]), np.float64), made["intercept"])
+    return (np.zeros(BUCKETS + 1), 0.0) if made is None else (np.frombuffer(bytes(made["parts"]), np.float64), made["intercept"])
 
 
 def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "quality") -> DataFrame:

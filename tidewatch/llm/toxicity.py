@@ -19,8 +19,8 @@ from tidewatch.llm import ngrams as G
 from tidewatch.llm import text as T
 
 SIZES = (3, 4, 5)
-BUCKETS = 1 << 20
-PER_CLASS = 2500
+BUCKETS = 1 << 19
+PER_CLASS = 2000
 MOST_CHARS = 100_000
 MODULUS, HELD_OUT = 3, 1
 AT_LEAST = 0.7
@@ -28,64 +28,60 @@ SMOOTHING = 1.0
 #: N-grams of fewer sample texts tell nothing about other texts.
 LEAST_TEXTS = 4
 PENALTY = 1e-4
-STEPS = 300
-FORM = {"sizes": SIZES, "buckets": BUCKETS, "lower": True, "once": True}
+STEPS = 250
+FORM = {"sizes": SIZES, "buckets": BUCKETS, "lower": True}
 
 
-def fit(labels: np.ndarray, texts: list[str]) -> tuple[np.ndarray, float, float]:
-    """(weight of each bucket, weight of the root of the number of words, intercept)."""
-    first, bucket, count, words = G.sample_matrix(texts, **FORM)
+def fit(labels: np.ndarray, texts: list[str]) -> tuple[np.ndarray, float]:
+    """(weight of each bucket, intercept)."""
+    first, bucket, count, words = G.sample_matrix(texts, once=True, **FORM)
     row = np.repeat(np.arange(len(texts)), np.diff(first))
     toxic = labels == 1
     if toxic.all() or not toxic.any():  # nothing to tell apart: the share of toxic texts, whatever the text
-        return np.zeros(BUCKETS), 0.0, 6.0 if len(labels) and toxic.all() else -6.0
+        return np.zeros(BUCKETS), 6.0 if len(labels) and toxic.all() else -6.0
     have = [np.bincount(bucket[toxic[row] == t], minlength=BUCKETS) for t in (True, False)]
     share = [(h + SMOOTHING) / (h + SMOOTHING).sum() for h in have]
     ratio = np.where(have[0] + have[1] >= LEAST_TEXTS, np.log(share[0] / share[1]), 0.0)
     used = ratio[bucket] != 0
-    row, bucket, count = row[used], bucket[used], count[used]
+    kept, bucket = np.unique(bucket[used], return_inverse=True)
+    row, count, ratio = row[used], count[used], ratio[kept]
     value = ratio[bucket] * count / np.sqrt(np.maximum(words, 1))[row]
-    # both classes weigh the same; full-batch steps with momentum and a step size for each weight
+    # both classes weigh the same; full-batch steps with momentum and a step size for each weight, the last one's being the intercept
     balance = np.where(toxic, 0.5 / toxic.sum(), 0.5 / (~toxic).sum())
-    weight, side, speed = np.zeros(BUCKETS), np.zeros(BUCKETS), np.zeros(BUCKETS)
-    intercept, b_side, b_speed = 0.0, 0.0, 0.0
+    weight, side, speed = (np.zeros(len(kept) + 1) for _ in range(3))
     for step in range(1, STEPS + 1):
-        logit = np.bincount(row, value * weight[bucket], minlength=len(texts)) + intercept
+        logit = np.bincount(row, value * weight[bucket], minlength=len(texts)) + weight[-1]
         error = (G.sigmoid(logit) - toxic) * balance
-        slope = np.bincount(bucket, value * error[row], minlength=BUCKETS) + PENALTY * weight
+        slope = np.r_[np.bincount(bucket, value * error[row], minlength=len(kept)) + PENALTY * weight[:-1], error.sum()]
         side, speed = 0.9 * side + 0.1 * slope, 0.99 * speed + 0.01 * slope ** 2
-        b_slope = error.sum()
-        b_side, b_speed = 0.9 * b_side + 0.1 * b_slope, 0.99 * b_speed + 0.01 * b_slope ** 2
-        scale = np.sqrt(1 - 0.99 ** step) / (1 - 0.9 ** step)
-        weight -= 0.05 * scale * side / (np.sqrt(speed) + 1e-9)
-        intercept -= 0.05 * scale * b_side / (np.sqrt(b_speed) + 1e-9)
-    return weight * ratio, 0.0, float(intercept)
-
-
-def score(model: tuple[np.ndarray, float, float], texts: list[bytes | None]) -> np.ndarray:
-    weights, by_length, intercept = model
-    form = {k: v for k, v in FORM.items() if k != "once"}
-    g = G.word_grams(texts, **form)
+        weight -= 0.05 * np.sqrt(1 - 0.99 ** step) / (1 - 0.9 ** step) * side / (np.sqrt(speed) + 1e-9)
+    weights = np.zeros(BUCKETS)
+    weights[kept] = weight[:-1] * ratio
+    return weights, float(weight[-1])
+
+
+def score(model: tuple[np.ndarray, float], texts: list[bytes | None]) -> np.ndarray:
+    weights, intercept = model
+    g = G.word_grams(texts, **FORM)
     of_word = np.bincount(g.word, weights[g.bucket], minlength=g.n_distinct)
     text, word = G.text_words(g, once=True)
     n = np.bincount(text, minlength=len(texts))
     total = np.bincount(text, of_word[word], minlength=len(texts)) if len(text) else np.zeros(len(texts))
-    root = np.sqrt(np.maximum(n, 1))
-    return G.sigmoid(total / root + by_length * root + intercept)
+    return G.sigmoid(total / np.sqrt(np.maximum(n, 1)) + intercept)
 
 
-def train(sample: DataFrame) -> tuple[np.ndarray, float, float]:
+def train(sample: DataFrame) -> tuple[np.ndarray, float]:
     """Fit on (label, text) rows, a sample of bounded size, in one task; an empty sample gives a model that rejects nothing."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("doc_id")
-        weights, by_length, intercept = fit(table.column("label").to_numpy(), table.column("text").to_pylist())
-        return pa.table({"weights": pa.array([weights.tobytes()], pa.binary()), "by_length": [by_length], "intercept": [intercept]})
+        weights, intercept = fit(table.column("label").to_numpy(), table.column("text").to_pylist())
+        return pa.table({"weights": pa.array([weights.tobytes()], pa.binary()), "intercept": [intercept]})
 
-    made = sample.groupBy().applyInArrow(run, "weights binary, by_length double, intercept double").first()
+    made = sample.groupBy().applyInArrow(run, "weights binary, intercept double").first()
     if made is None:
-        return np.zeros(BUCKETS), 0.0, -6.0
-    return np.frombuffer(bytes(made["weights"]), np.float64), made["by_length"], made["intercept"]
+        return np.zeros(BUCKETS), -6.0
+    return np.frombuffer(bytes(made["weights"]), np.float64), made["intercept"]
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic") -> DataFrame:

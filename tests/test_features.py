@@ -5,11 +5,12 @@ from datetime import timedelta
 
 import pytest
 
-from conftest import BASE
+from conftest import BASE, one
 from tidewatch.plans.portal import login_bursts, portal_features
 from tidewatch.plans.store import feature_columns, feature_counts, feature_store, imputed
 from tidewatch.plans.trading import trading_features, win_streaks
 from tidewatch.schemas import PORTAL_FEATURES, STORE_FEATURES, TRADE_FEATURES
+from tidewatch.sources.tables import read_portal
 
 
 def at(**kw):
@@ -181,3 +182,25 @@ def test_store_joins_both_sides(portal, trades):
     filled = {r.user_id: r for r in imputed(store).collect()}
     assert filled["t"].p_total_logins == 1.0
     assert {r.user_id: r.p_total_logins for r in imputed(store, "zero").collect()}["t"] == 0.0
+
+
+def test_users_without_times_stay(portal, trades):
+    """A user whose times are all null has features; recent counts are 0."""
+    events = portal([{"user_id": "a"}, {"user_id": "b", "timestamp": None}, {"user_id": None}])
+    got = {r.user_id: r for r in portal_features(events).collect()}
+    assert set(got) == {"a", "b"} and got["b"].total_logins == 1 and got["b"].rolling_7d_logins == 0
+    made = trades([{"user_id": "a"}, {"user_id": "b", "open_ts": None, "close_ts": None}])
+    got = {r.user_id: r for r in trading_features(made).collect()}
+    assert set(got) == {"a", "b"} and got["b"].total_trades == 1 and got["b"].rolling_7d_trades == 0
+
+
+def test_login_gaps_skip_null_times(portal):
+    events = portal([{"timestamp": BASE}, {"timestamp": BASE + timedelta(minutes=10)}, {"timestamp": None}])
+    assert one(portal_features(events)).inter_login_min == 10.0
+
+
+def test_csv_columns_go_by_name(spark, portal, tmp_path):
+    rows = portal([{"user_id": "u1", "amount": 5.5}, {"user_id": "u2"}])
+    rows.select(*reversed(rows.columns)).coalesce(1).write.option("header", True).csv(str(tmp_path / "p"))
+    got = read_portal(spark, str(tmp_path / "p"))
+    assert got.columns == rows.columns and sorted(map(str, got.collect())) == sorted(map(str, rows.collect()))

@@ -9,14 +9,12 @@ ROWS_PER_PART = 1_000_000
 
 
 def heavy_keys(per_key: DataFrame, key: str, count: str, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
-    """(key, _parts) of the keys above `rows_per_part` rows, hinted for broadcast.
+    """(key, _parts) of the keys above `rows_per_part` rows.
 
-    The list cannot be longer than rows / rows_per_part. The filter names every column of
-    `per_key`, so that all uses of it share one shuffle.
+    The list cannot be longer than rows / rows_per_part; Spark broadcasts it if its size allows.
     """
     parts = F.ceil(F.col(count) / F.lit(rows_per_part)).cast("int")
-    return F.broadcast(_known(per_key).where(F.col(count) > rows_per_part)
-                       .select(key, parts.alias("_parts")))
+    return per_key.where(F.col(key).isNotNull() & (F.col(count) > rows_per_part)).select(key, parts.alias("_parts"))
 
 
 def attach_per_key(events: DataFrame, per_key: DataFrame, key: str, count: str, spread: list[str],
@@ -30,13 +28,7 @@ def attach_per_key(events: DataFrame, per_key: DataFrame, key: str, count: str,
               .withColumn("_salt", F.pmod(F.xxhash64(*spread), F.coalesce("_parts", F.lit(1)))
                           .cast("int"))
               .drop("_parts"))
-    copies = _known(per_key).withColumn(
+    copies = per_key.where(F.col(key).isNotNull()).withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1)))
     return salted.join(copies, [key, "_salt"], "inner").drop("_salt")
 
-
-def _known(per_key: DataFrame) -> DataFrame:
-    known = F.lit(True)
-    for column in per_key.columns:
-        known = known & F.col(column).isNotNull()
-    return per_key.where(known)

@@ -60,7 +60,7 @@ def base_aggregates() -> dict:
         "login_hour_mean": or_zero(F.avg(F.when(login(), hour()))),
         "login_hour_std": or_zero(F.stddev_samp(F.when(login(), hour()))),
         "pct_night_logins": or_zero(share(hour().between(0, 5), login())),
-        "inter_login_min": or_zero(F.when(F.count_if(login()) > 1, span_min / (F.count_if(login()) - 1))),
+        "inter_login_min": or_zero(F.when(F.count(at) > 1, span_min / (F.count(at) - 1))),
         "total_deposits": or_zero(F.sum(deposited)),
         "total_withdrawals": or_zero(F.sum(withdrawn)),
         "deposit_count": F.count(deposited),
@@ -135,20 +135,20 @@ def kyc_before_withdrawals(events: DataFrame, window_hours: int = KYC_HOURS) ->
 def portal_features(events: DataFrame, burst_minutes: int = BURST_MINUTES,
                     kyc_hours: int = KYC_HOURS, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """One row per user with the 27 features and the label."""
-    recent = F.col("recent")
-    base = (recent_days(events, "timestamp", "event_id", ["event_type", "status", "amount", "anomaly_flag"],
-                        rows_per_part=rows_per_part)
-            .groupBy(KEY).agg(
-                *[c.alias(n) for n, c in base_aggregates().items()],
-                F.count_if(recent & login()).alias("rolling_7d_logins"),
-                F.count_if(recent & deposit()).alias("rolling_7d_deposits"),
-                F.count_if(recent & withdrawal()).alias("rolling_7d_withdrawals"),
-                F.bool_or(holds(F.col("anomaly_flag"))).alias(LABEL)))
+    base = (events.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(
+        *[c.alias(n) for n, c in base_aggregates().items()],
+        F.bool_or(holds(F.col("anomaly_flag"))).alias(LABEL)))
+    # only what the last days need goes through a join with the events
+    rolling = (recent_days(events, "timestamp", "event_id", ["event_type"], rows_per_part=rows_per_part)
+               .where("recent").groupBy(KEY).agg(
+                   F.count_if(login()).alias("rolling_7d_logins"),
+                   F.count_if(deposit()).alias("rolling_7d_deposits"),
+                   F.count_if(withdrawal()).alias("rolling_7d_withdrawals")))
     burst = (login_bursts(events, burst_minutes).groupBy(KEY)
              .agg(F.greatest(F.max("n"), F.lit(1)).alias("max_ips_in_1h")))
     kyc = (kyc_before_withdrawals(events, kyc_hours).groupBy(KEY)
            .agg(F.max((F.col("n") >= 3).cast("int")).alias("kyc_before_withdrawal")))
-    joined = (base.join(diversity(events), KEY, "left").join(burst, KEY, "left")
+    joined = (base.join(rolling, KEY, "left").join(diversity(events), KEY, "left").join(burst, KEY, "left")
               .join(kyc, KEY, "left"))
     return joined.select(KEY, *[_finished(c) for c in PORTAL_FEATURES], LABEL)
 

@@ -93,17 +93,16 @@ def win_streaks(trades: DataFrame, rows_per_part: int = ROWS_PER_PART) -> DataFr
 
 def trading_features(trades: DataFrame, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """One row per user with the 29 features and the label."""
-    recent = F.col("recent")
-    base = (recent_days(trades, "open_ts", "trade_id",
-                        ["lot_size", "pnl", "duration_min", "margin_used", "anomaly_flag"],
-                        rows_per_part=rows_per_part)
-            .groupBy(KEY).agg(
-                *[c.alias(n) for n, c in base_aggregates().items()],
-                F.count_if(recent).alias("rolling_7d_trades"),
-                F.sum(F.when(recent, pnl())).alias("rolling_7d_pnl"),
-                F.sum(F.when(recent, lot())).alias("rolling_7d_lot_size"),
-                F.bool_or(holds(F.col("anomaly_flag"))).alias(LABEL)))
-    joined = (base.join(instrument_mix(trades), KEY, "left")
+    base = (trades.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(
+        *[c.alias(n) for n, c in base_aggregates().items()],
+        F.bool_or(holds(F.col("anomaly_flag"))).alias(LABEL)))
+    # only what the last days need goes through a join with the trades
+    rolling = (recent_days(trades, "open_ts", "trade_id", ["lot_size", "pnl"], rows_per_part=rows_per_part)
+               .where("recent").groupBy(KEY).agg(
+                   F.count("*").alias("rolling_7d_trades"),
+                   F.sum(pnl()).alias("rolling_7d_pnl"),
+                   F.sum(lot()).alias("rolling_7d_lot_size")))
+    joined = (base.join(rolling, KEY, "left").join(instrument_mix(trades), KEY, "left")
               .join(win_streaks(trades, rows_per_part), KEY, "left"))
     return joined.select(KEY, *[_finished(c) for c in TRADE_FEATURES], LABEL)
 

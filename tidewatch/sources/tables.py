@@ -11,8 +11,12 @@ from ..schemas import portal_schema, trade_schema
 
 
 def read_events(spark: SparkSession, path: str, schema: T.StructType, format: str = "csv") -> DataFrame:
-    reader = spark.read.schema(schema)
-    return reader.option("header", True).csv(path) if format == "csv" else reader.format(format).load(path)
+    """Events with the columns of `schema`. CSV columns are found by the names in the header, in any order;
+    files whose headers differ, missing columns and values that do not parse raise an error."""
+    if format != "csv":
+        return spark.read.schema(schema).format(format).load(path)
+    text = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    return text.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
 
 
 def read_portal(spark: SparkSession, path: str, format: str = "csv",

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,19 +28,43 @@ def build_session(app: str = "tidewatch", master: str | None = None, **conf: str
         builder = builder.master(master)
     for name, value in settings.items():
         builder = builder.config(name, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not is_local(spark.sparkContext.master):
+        ship_package(spark)
+    return spark
+
+
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process."""
+    return re.fullmatch(r"local(\[[\d*, ]+\])?", master) is not None
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, which run its Arrow functions."""
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="ship-")) / "tidewatch.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(package.rglob("*.py")):
+            z.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only where the session names none (a local test run) is a fresh temporary folder made
-    and recorded, so that every later call of the session finds the same one.
+    Only in a local session that names none (a test run) is a fresh temporary folder made and
+    recorded, so that every later call finds the same one. On a cluster each executor would see
+    a folder of its own, so a cluster without the setting is refused.
     """
     named = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
     if not named:
         jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        named = jvm_dir.get() if jvm_dir.isDefined() else tempfile.mkdtemp(prefix="tidewatch-")
+        if jvm_dir.isDefined():
+            named = jvm_dir.get()
+        elif is_local(spark.sparkContext.master):
+            named = tempfile.mkdtemp(prefix="tidewatch-")
+        else:
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         spark.conf.set(CHECKPOINT_CONF, named)
     return named
 

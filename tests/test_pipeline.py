@@ -67,7 +67,7 @@ def test_whole_pipeline(spark, activity, tmp_path):
     store, names = read_store(spark, f"{out}/feature_store")
     assert len(names) == 56 and store.where(F.col("p_total_logins").isNull()).isEmpty()
     runs = {r.run_name: r for r in spark.read.parquet(f"{out}/runs").collect()}
-    assert runs["isolation_forest_lof_ensemble"].params["n_estimators"] == "200"
+    assert runs["isolation_forest_lof_ensemble"].params["n_estimators"] == "30" and runs["mlp_autoencoder"].params["epochs"] == "3"
     assert runs["isolation_forest_lof_ensemble"].metrics["if_auc"] == report["Isolation Forest"].auc
     assert set(runs["mlp_autoencoder"].metrics) == {f"ae_{m}" for m in ("auc", "ap", "precision", "recall", "f1")}
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+#: Names a row while models score it; users may have several rows.
+ROW = "_row"
 KEY = "user_id"
 LABEL = "is_anomalous"
 

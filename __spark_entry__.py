@@ -106,7 +106,7 @@ def _daily(spark, d) -> DataFrame:
 
 def _portal_rules(spark, d) -> DataFrame:
     stats = rules.portal_rule_stats(portal_view(spark, d), **WINDOWS)
-    return stats.select(KEY, "portal_event_count", *[c.alias(n) for n, c in rules.portal_findings().items()])
+    return stats.select(KEY, "portal_event_count", *[c.alias(n) for n, c in rules.portal_findings(**WINDOWS).items()])
 
 
 def _trading_rules(spark, d) -> DataFrame:
@@ -211,7 +211,7 @@ def _roc(spark, d) -> DataFrame:
 
 
 def _model_comparison(spark, d) -> DataFrame:
-    series = metrics.long_scores(_scored(spark, d), [
+    series = metrics.long_scores(cut_lineage(_scored(spark, d), "scored"), [
         (name, score, F.col(score) >= 0.5) for name, score in (
             ("Isolation Forest", "if_score"), ("LOF", "lof_score"),
             ("IF+LOF Ensemble", "ensemble_score"), ("MLP Autoencoder", "lstm_score"))], F.col(LABEL))

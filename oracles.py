@@ -204,14 +204,14 @@ prule as (
              qualify row_number() over (partition by user_id order by ts, event_id) = 1) k using (user_id)),
 pfind as (
   select user_id, portal_event_count,
-    case when logins >= 3 and burst_ips >= 4 then 'Multi-IP login burst: ' || burst_ips || ' distinct IPs within 60 minutes' end as ip_burst,
+    case when logins >= 3 and burst_ips >= 4 then 'Multi-IP login burst: ' || burst_ips || ' distinct IPs within 1440 minutes' end as ip_burst,
     case when failed >= 5 then 'Brute force pattern: ' || failed || ' failed login attempts detected' end as brute_force,
     case when night >= 3 then 'Unusual login hours: ' || night || ' logins between 1–4 AM' end as unusual_hours,
     case when small >= 10 then 'Structuring pattern: ' || small || ' deposits under $500 (total ' || format('${:,.0f}', small_total) || ')' end as structuring,
     case when deps > 0 and wds > 0 and withdrawn / greatest(deposited, 1) > 0.75 and deposited > 1000
       then 'Deposit-withdrawal cycle: withdrew ' || format('{:.0f}', withdrawn / greatest(deposited, 1) * 100) || '% of deposits ('
         || format('${:,.0f}', withdrawn) || ' of ' || format('${:,.0f}', deposited) || ')' end as deposit_cycle,
-    case when kyc_changes >= 3 then 'KYC manipulation: ' || kyc_changes || ' profile changes in 4h before '
+    case when kyc_changes >= 3 then 'KYC manipulation: ' || kyc_changes || ' profile changes in 24h before '
         || format('${:,.0f}', kyc_amount) || ' withdrawal' end as kyc_manipulation
   from prule)"""
 

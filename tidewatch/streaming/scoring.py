@@ -92,7 +92,7 @@ class StreamScorer:
         events, trades = buffered_events(buffers.join(raised.select(KEY), KEY, "left_semi"))
         alerts = build_alerts(raised.select(KEY, "final_score", "if_score", "ae_score", "top_features"),
                               portal_rule_stats(events, **self.rule_windows), trading_rule_stats(trades),
-                              self.as_of or datetime.now(timezone.utc).replace(tzinfo=None))
+                              self.as_of or datetime.now(timezone.utc).replace(tzinfo=None), **self.rule_windows)
         target = os.path.join(self.alert_path, f"batch_id={batch_id}")
         alerts.write.mode("overwrite").parquet(target)
         if self.publish is not None:

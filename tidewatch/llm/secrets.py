@@ -30,13 +30,14 @@ ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 6, 20, 24
 #: Runs of `[0-9a-f]+`; one that is too short fails as a whole, so only long ones are looked for.
 HEX = re.compile(rf"(?<![0-9a-f])[0-9a-f]{{{HEX_LEAST},}}")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+WORD = "(?:[A-Z]?[a-z]+|[A-Z]+)"
 DIGEST_LENGTHS = (32, 40, 48, 56, 64, 96, 128)
+DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 KNOWN = (
-    re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z"),  # digests; the length is checked apart
     re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}\Z"),  # universally unique identifiers
     re.compile(r"[0-9_/=+-]+\Z"),  # numbers, dates, rules
-    re.compile(r"(?:[A-Za-z]+[0-9]{0,4}[-_/+=]+)*[A-Za-z]+[0-9]{0,4}[-_/+=]*\Z"),  # words, names and paths
+    re.compile(rf"(?:{WORD}[0-9]{{0,4}}[-_/+]+)*{WORD}[0-9]{{0,4}}[-_/+=]*\Z"),  # words, names and paths
 )
 PIECES = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+"
 
@@ -48,9 +49,7 @@ def _encoding(ranks: bytes) -> tiktoken.Encoding:
 
 
 def _is_known(s: str) -> bool:
-    if KNOWN[0].match(s):
-        return len(s) in DIGEST_LENGTHS
-    return any(p.match(s) for p in KNOWN[1:])
+    return any(p.match(s) for p in KNOWN) or len(s) in DIGEST_LENGTHS and DIGEST.match(s) is not None
 
 
 def base_spans(s: str) -> list[tuple[int, int, int]]:

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm import text as T
+from tidewatch.session import cut_lineage
 
 #: A path wins with at least so much of the best path's votes.
 WINNING_SHARE = 0.3
@@ -36,6 +37,11 @@ DROPPED_NAMES = {"ad", "ads", "adbox", "advert", "adverts", "advertisement", "ad
                  "overlay", "newsletter", "subscribe", "signup", "login", "comment", "comments", "commentlist", "disqus", "respond",
                  "reply", "replies", "share", "sharing", "social", "related", "recommended", "recirc", "pagination", "pager", "toolbar", "skip",
                  "hidden", "legal", "copyright", "disclaimer", "search", "form", "header", "tags", "taglist"}
+#: Dropped wherever they stand in a name, as in comment-body or ad-slot; the others only as its last part, as in main-menu.
+STRONG_NAMES = {"comment", "comments", "commentlist", "sidebar", "footer", "ad", "ads", "advert", "adverts", "cookie", "cookies",
+                "newsletter", "nav", "navbar", "menu", "sponsored", "promo"}
+#: A name that begins so tells of the layout, as in no-sidebar.
+MODIFIERS = {"no", "has", "with", "without", "is", "not"}
 KEPT_NAMES = {"article", "content", "main", "post", "entry", "story", "body", "text", "page"}
 CLOSES_P = {"address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figure", "footer", "form", "h1", "h2", "h3",
             "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"}
@@ -44,7 +50,7 @@ SAME_CLOSES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"t
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 PART = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
-                  r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.DOTALL)
+                  r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.DOTALL)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 NUMBER = re.compile(r"\d+")
 NAME_PARTS = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
@@ -58,7 +64,7 @@ class Node:
     parent: Node | None
     dropped: bool
     container: Node | None = None
-    heading: bool = False
+    dropped_tag: bool = False
 
 
 @dataclass(slots=True)
@@ -84,8 +90,16 @@ def _is_dropped(tag: str, attributes: dict[str, str]) -> bool:
         return True
     if tag in ("html", "body", "article", "main"):
         return False
-    names = [set(NAME_PARTS.split(CAMEL.sub("-", attributes.get(a, "")).lower())) for a in ("class", "id")]
-    return any(n & DROPPED_NAMES and not n & KEPT_NAMES or n & {"comment", "comments", "sidebar", "footer"} for n in names)
+    return any(_is_dropped_name(name) for a in ("class", "id") for name in CAMEL.sub("-", attributes.get(a, "")).lower().split())
+
+
+def _is_dropped_name(name: str) -> bool:
+    parts = [p for p in NAME_PARTS.split(name) if p]
+    if not parts or parts[0] in MODIFIERS:
+        return False
+    if parts[-1] == "header":  # the header of an article holds its heading
+        return parts[0] not in KEPT_NAMES or len(parts) == 1
+    return bool(STRONG_NAMES & set(parts) or parts[-1] in DROPPED_NAMES or parts[0] in DROPPED_NAMES and not KEPT_NAMES & set(parts))
 
 
 def _step(tag: str, attributes: dict[str, str]) -> str:
@@ -145,10 +159,10 @@ def blocks(page: str) -> list[Block]:
                     break
                 if tag in INLINE and stack[i].tag not in INLINE:
                     break
-        elif m[2]:
-            tag = m[2].lower()
+        elif m[2] or m[4]:
+            tag, attribute_text = (m[2] or m[4]).lower(), m[3] if m[2] else m[5]
             if tag in RAW:
-                if not m[3].rstrip().endswith("/"):
+                if not attribute_text.rstrip().endswith("/"):
                     depth_of_raw = tag
                 if tag not in INLINE:
                     now = None
@@ -172,21 +186,23 @@ def blocks(page: str) -> list[Block]:
                         break
                     if stack[i].tag in SAME_CLOSES[tag]:
                         break
-            attributes = _attributes(m[3])
+            attributes = _attributes(attribute_text)
             parent = stack[-1]
             if tag in INLINE:
-                node = Node(tag, parent.path, parent, parent.dropped, parent.container, parent.heading)
+                node = Node(tag, parent.path, parent, parent.dropped, parent.container, parent.dropped_tag)
                 links += tag == "a"
             else:
                 path = "" if tag in ("html", "body") else f"{parent.path}>{_step(tag, attributes)}"
-                node = Node(tag, path, parent, parent.dropped or _is_dropped(tag, attributes), parent.container, parent.heading)
+                node = Node(tag, path, parent, parent.dropped or _is_dropped(tag, attributes), parent.container, parent.dropped_tag or tag in DROPPED)
                 if tag in ("article", "main") or attributes.get("role") == "main":
                     node.container = node
                 if tag in HEADINGS and parent.container and parent.tag == "header" and parent.parent is not None and not parent.parent.dropped:
-                    node.dropped, node.heading = False, True  # the article's own heading
+                    node.dropped = node.dropped_tag = False  # the article's own heading
                 now = None
             stack.append(node)
-    return [b for b in out if not b.node.dropped and b.text()]
+    found = [b for b in out if b.text()]
+    # where all text is in dropped parts, names misled: the tags alone decide
+    return [b for b in found if not b.node.dropped] or [b for b in found if not b.node.dropped_tag]
 
 
 def _container(node: Node) -> str:
@@ -256,7 +272,8 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     url = F.col(f"`{url_col}`").cast("string")
     pages = pages.select(F.col(f"`{id_col}`").alias("page_id"), url.alias("url"), F.col(f"`{html_col}`").cast("string").alias("html"),
                          F.lower(F.coalesce(F.regexp_extract(url, HOST, 1), F.lit(""))).alias("host"))
-    winners = host_paths(pages).withColumnRenamed("host", "of_host")
+    # written, so that Spark knows its size: broadcast if small, else a join that splits large hosts
+    winners = cut_lineage(host_paths(pages), "host-paths").withColumnRenamed("host", "of_host")
     joined = pages.join(winners, pages["host"] == winners["of_host"], "left").select("page_id", "url", "html", "winners")
 
     def run(batches):

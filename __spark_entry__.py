@@ -9,14 +9,16 @@ from datetime import datetime
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+import numpy as np  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import oracles  # noqa: E402
 from tidewatch.functions.columns import (alert_risk, blend, response_risk, rounded)  # noqa: E402
+from tidewatch.operators.ordered import exact_quantiles  # noqa: E402
 from tidewatch.plans import alerts, explore, metrics, portal, rules, store, trading  # noqa: E402
 from tidewatch.models import blended, density  # noqa: E402
-from tidewatch.models.autoencoder import AutoencoderDetector  # noqa: E402
+from tidewatch.models.autoencoder import AutoencoderDetector, AutoencoderModel, Network, layer_sizes  # noqa: E402
 from tidewatch.models.baseline import BaselineDetector, explained  # noqa: E402
 from tidewatch.models.scaling import RobustScale  # noqa: E402
 from tidewatch.schemas import KEY, LABEL, QUICK_PORTAL, QUICK_TRADE, STORE_FEATURES  # noqa: E402
@@ -60,8 +62,12 @@ def _imputed(spark, d) -> DataFrame:
 
 
 def _scored(spark, d, trades: DataFrame | None = None) -> DataFrame:
+    return _stand_ins(_store(spark, d, trades))
+
+
+def _stand_ins(full: DataFrame) -> DataFrame:
     """Stand-in scores taken from the store, so that an oracle exists for what follows them."""
-    return _store(spark, d, trades).select(
+    return full.select(
         KEY, LABEL, F.col("t_win_rate").alias("if_score"),
         F.col("t_pct_sub_minute_trades").alias("lof_score"),
         rounded(blend(F.col("t_win_rate"), F.col("t_pct_sub_minute_trades")), 4).alias("ensemble_score"),
@@ -130,7 +136,11 @@ def _alerts_top(spark, d) -> DataFrame:
 
 
 def _alerts_by_user(spark, d) -> DataFrame:
-    return (alerts.alerts_of_user(_alerts(spark, d), 42)
+    """The user's own events are all that is read on: features, scores and rules are per user."""
+    events, trades = (view(spark, d).where(F.col(KEY) == 42) for view in (portal_view, trade_view))
+    scores = _stand_ins(store.feature_store(portal.portal_features(events, **WINDOWS), trading.trading_features(trades)))
+    raised = alerts.alerts_from_scores(scores, events, trades, AS_OF, threshold=0.30, **WINDOWS)
+    return (alerts.alerts_of_user(raised, 42)
             .select(KEY, "alert_id", "risk_level", F.array_join("findings", " | ").alias("findings")))
 
 
@@ -176,7 +186,8 @@ def _value_counts(spark, d) -> DataFrame:
 
 
 def _anomaly_types(spark, d) -> DataFrame:
-    return explore.value_counts(trade_view(spark, d), "anomaly_type", F.col("anomaly_flag"))
+    both = [view(spark, d).select("anomaly_type", "anomaly_flag") for view in (portal_view, trade_view)]
+    return explore.value_counts(both[0].unionByName(both[1]), "anomaly_type", F.col("anomaly_flag"))
 
 
 def _event_summary(spark, d) -> DataFrame:
@@ -185,7 +196,7 @@ def _event_summary(spark, d) -> DataFrame:
 
 
 def _histograms(spark, d) -> DataFrame:
-    return explore.histograms(_store(spark, d), oracles.HIST_FEATURES)
+    return explore.histograms(cut_lineage(_store(spark, d), "store"), oracles.HIST_FEATURES)
 
 
 def _doc_series(spark, d) -> DataFrame:
@@ -277,6 +288,21 @@ def _ae_scores(spark, d) -> DataFrame:
     return _fitted(spark, d, "autoencoder").transform(_fitted(spark, d, "store"))
 
 
+def _ae_forward(spark, d) -> DataFrame:
+    """The autoencoder's scores with weights from a formula that SQL can repeat."""
+    full = _fitted(spark, d, "store")
+    scale = RobustScale.fit(full.na.fill(0.0, STORE_FEATURES), STORE_FEATURES)
+    sizes = layer_sizes(len(STORE_FEATURES))
+    weights = [np.array([[((i * 7 + j * 13 + layer * 5) % 17 - 8) / 40.0 for j in range(b)] for i in range(a)])
+               for layer, (a, b) in enumerate(zip(sizes, sizes[1:]))]
+    network = Network(weights, [np.array([(j % 5 - 2) * 0.01 for j in range(b)]) for b in sizes[1:]])
+    errors = full.where(~F.col(LABEL)).select(scale.vector().alias("x")).select(network.errors().alias("e")).select(
+        (F.aggregate("e", F.lit(0.0), lambda a, v: a + v) / sizes[0]).alias("error"))
+    threshold = exact_quantiles(errors, ["error"], [0.5])["error"][0]
+    return (AutoencoderModel(scale, network, threshold).transform(full).drop(LABEL)
+            .withColumn("lstm_top_features", F.array_join("lstm_top_features", "|")))
+
+
 def _score_users(spark, d) -> DataFrame:
     wanted = _wanted(spark, d)
     scores = blended.blended_scores(lookup.hits(_fitted(spark, d, "store"), wanted),
@@ -293,8 +319,8 @@ def _score_maps(spark, d) -> DataFrame:
 
 def _explain(spark, d) -> DataFrame:
     """The five features furthest from their mean, in standard deviations, per user."""
-    full = _fitted(spark, d, "store")
-    names = oracles.EXPLAINED
+    full = _fitted(spark, d, "store").na.fill(0.0, STORE_FEATURES)
+    names = STORE_FEATURES
     stats = full.agg(*[a for c in names for a in (F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}"))]).first()
     top = explained([F.col(c) for c in names], names, [stats[f"m_{c}"] for c in names],
                     [stats[f"s_{c}"] + 1e-9 for c in names])
@@ -378,6 +404,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "iforest_scores": _iforest,
         "permutation_importance": _importance,
         "ae_scores": _ae_scores,
+        "ae_forward": _ae_forward,
         "score_users": _score_users,
         "score_feature_maps": _score_maps,
         "stream_features": _stream_features,

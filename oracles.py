@@ -321,14 +321,11 @@ series as (
   union all select 'IF+LOF Ensemble', ensemble_score, is_anomalous::int, case when ensemble_score >= 0.5 then 1 else 0 end from scored
   union all select 'MLP Autoencoder', lstm_score, is_anomalous::int, case when lstm_score >= 0.5 then 1 else 0 end from scored)"""
 
+# The features whose histograms are reported.
 HIST_FEATURES = ["p_unique_ips", "p_pct_night_logins", "p_deposit_withdraw_ratio",
                  "t_pnl_volatility", "t_pct_sub_30s_trades", "t_top_instrument_concentration"]
 
 
-EXPLAINED = ["t_total_trades", "t_mean_lot_size", "t_win_rate", "t_pnl_volatility", "t_mean_pnl", "t_max_single_win",
-             "t_max_single_loss", "t_mean_duration_min", "t_instrument_entropy", "t_mean_margin_used"]
-
-
 def lof(where: str, width: int = 64, k: int = 20) -> list[str]:
     return [f"""
 ref as materialized (select vec_id as id, cast(embedding as double[{width}]) as x from embeddings where {where})""", f"""
@@ -348,12 +345,13 @@ def oracle_sql() -> dict[str, str]:
     out["feature_store"] = sql(STORE_ALL, "select * from store")
     out["imputed_matrix"] = sql(STORE_ALL, "select user_id, is_anomalous, " + ", ".join(
         r(f"coalesce({c}, median({c}) over ())", 6) + f" as {c}" for c in STORE_FEATURES) + " from store")
-    scaled = []
+    scaled, raw = [], []
     for c in STORE_FEATURES:
         x = f"coalesce({c}, 0)"
         iqr = f"(select quantile_cont({x}, 0.75) - quantile_cont({x}, 0.25) from store)"
         med = f"(select median({x}) from store)"
-        scaled.append(r(f"({x} - {med}) / case when {iqr} = 0 then 1 else {iqr} end", 6) + f" as {c}")
+        raw.append(f"({x} - {med}) / case when {iqr} = 0 then 1 else {iqr} end as {c}")
+        scaled.append(r(raw[-1].rsplit(" as ", 1)[0], 6) + f" as {c}")
     out["robust_scaled"] = sql(
         [*STORE_ALL[:-1], STORE.replace("store as (", "store as materialized (", 1)],
         "select user_id, " + ", ".join(scaled) + " from store")
@@ -409,7 +407,8 @@ def oracle_sql() -> dict[str, str]:
         [PORTAL, TRADE], "select user_id from portal union select user_id from trade")
     out["value_counts"] = sql([PORTAL], "select kind as event_type, count(*) as n from portal group by kind")
     out["anomaly_type_counts"] = sql(
-        [TRADE], "select 'lot_spike' as anomaly_type, count(*) as n from trade where flag group by all")
+        [PORTAL, TRADE], """select 'error_spike' as anomaly_type, count(*) as n from portal where flag having count(*) > 0
+           union all select 'lot_spike', count(*) from trade where flag having count(*) > 0""")
     out["event_summary"] = sql(
         [PORTAL], f"select count(*) as n_rows, count(distinct user_id) as n_users, {r('avg(flag::int)', 6)} as anomaly_rate from portal")
     hist = " union all ".join(f"select '{c}' as feature, is_anomalous as label, {c} as v from store where {c} is not null"
@@ -431,12 +430,30 @@ moved as materialized (select id, cast(list_transform(cast(x as double[]), lambd
               qualify row_number() over (partition by m.id order by array_distance(m.x, ref.x), ref.id) = 1) q
             join lof on lof.id = q.nearest""")
     parts = " union all ".join(
-        f"select user_id, '{c}' as f, {i} as i, abs(({c} - avg({c}) over ()) / (stddev_pop({c}) over () + 1e-9)) as z from store"
-        for i, c in enumerate(EXPLAINED))
+        f"select user_id, '{c}' as f, {i} as i, abs((coalesce({c}, 0) - avg(coalesce({c}, 0)) over ()) / (stddev_pop(coalesce({c}, 0)) over () + 1e-9)) as z from store"
+        for i, c in enumerate(STORE_FEATURES))
     out["explain_top5"] = sql(
         [*TRADE_ALL, *PORTAL_ALL, STORE.replace("store as (", "store as materialized (", 1), f"zs as ({parts})"],
         """select user_id, string_agg(f, '|' order by z desc, i) as top_features from (
              select * from zs qualify row_number() over (partition by user_id order by z desc, i) <= 5) group by user_id""")
+    sizes = [len(STORE_FEATURES), 32, 14, 32, len(STORE_FEATURES)]
+    layers = []
+    for n, (a, b) in enumerate(zip(sizes, sizes[1:])):
+        value = (f"list_sum(list_transform(range({a}), lambda i: v{n}[i + 1] * ((i * 7 + j * 13 + {n * 5}) % 17 - 8) / 40.0)) + (j % 5 - 2) * 0.01")
+        layers.append(f"l{n + 1} as materialized (select user_id, is_anomalous, v0, list_transform(range({b}), lambda j: "
+                      + (f"greatest({value}, 0.0)" if n < 3 else value) + f") as v{n + 1} from l{n})")
+    vector = ", ".join(c.rsplit(" as ", 1)[0] for c in raw)
+    out["ae_forward"] = sql(
+        [*STORE_ALL[:-1], STORE.replace("store as (", "store as materialized (", 1),
+         f"l0 as materialized (select user_id, is_anomalous, [{vector}]::double[] as v0 from store)", *layers,
+         f"errs as materialized (select user_id, is_anomalous, list_transform(range({sizes[0]}), lambda i: (v0[i + 1] - v4[i + 1]) ** 2) as e from l4)",
+         f"sums as materialized (select *, list_sum(e) / {sizes[0]} as err from errs)",
+         "thr as (select quantile_cont(err, 0.5) as t from sums where not is_anomalous)",
+         f"""tops as (select user_id, string_agg(f, '|' order by v desc, i) as lstm_top_features from (
+             select * from (select user_id, unnest(e) as v, unnest(range({sizes[0]})) as i, unnest({list(STORE_FEATURES)!r}) as f from sums)
+             qualify row_number() over (partition by user_id order by v desc, i) <= 5) group by user_id)"""],
+        f"""select user_id, {r('err', 6)} as lstm_recon_error, {r('least(1.0, greatest(0.0, err / (2 * t + 1e-9)))', 4)} as lstm_score,
+             (err > t)::int as lstm_anomaly, lstm_top_features from sums join tops using (user_id), thr""")
     out["stream_features"] = sql(
         [PORTAL, TRADE, """
 bp as (select * from portal qualify row_number() over (partition by user_id order by ts desc, event_id desc) <= 200)""", """

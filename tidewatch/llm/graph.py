@@ -23,7 +23,8 @@ def _round(edges: DataFrame, large: bool) -> DataFrame:
     else:
         out = (joined.select(F.col("b").alias("a"), F.col("m").alias("b"))
                .unionByName(least.select(F.col("node").alias("a"), F.col("m").alias("b"))))
-    return out.where("a > b").distinct()
+    out = out.where("a > b")
+    return out if large else out.distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

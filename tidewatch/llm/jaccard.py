@@ -6,9 +6,10 @@
 3. A row links with another only if their overlap reaches t * max(sizes), so a row with fewer shared
    columns goes. Of the rest, the rarest columns are its prefix: two linked rows meet in a column of
    both prefixes. All other columns can make no new pair.
-4. Rows that meet are first compared with one hub per column (linear in the column's rows). Pairs
-   inside a component found so are settled; the other pairs are all compared. A comparison is the
-   exact overlap of both rows; pairs below the bound for their sizes are discarded.
+4. Rows that meet are first compared with the most central rows of each column (linear in the
+   column's rows), in two turns. Pairs inside a component found so are settled; the other pairs are all compared. Pairs whose
+   places in their prefixes leave too little for the bound on their sizes are discarded unseen; the
+   rest by the exact overlap of both rows.
 
 No column is capped: a large group of near copies collapses onto its hubs, and what remains are
 pairs that no link settles.
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm import text as T
@@ -32,7 +33,9 @@ N = 5
 PER_CENT = 75
 #: Entries of a column block; a task holds one block, about 24 bytes an entry.
 BLOCK_ENTRIES = 2_000_000
-HUB_ROUNDS = 3
+#: Turns of comparing with hubs, and how many hubs a column has in each.
+HUB_TURNS = (1, 8)
+
 
 
 def _sets(texts: list[bytes | None], n: int) -> Iterator[np.ndarray]:
@@ -90,7 +93,7 @@ def _incidence(docs: DataFrame, blocks: int, n: int) -> DataFrame:
                 names = np.fromiter(rows, np.int64, len(rows))
                 sizes = np.fromiter(map(len, rows.values()), np.int64, len(rows))
                 grams = np.concatenate(list(rows.values()))
-                row = np.repeat(np.arange(len(rows), dtype=np.uint32), sizes)
+                row = np.repeat(np.arange(len(rows), dtype=np.uint16), sizes)
                 block = (grams >> np.uint64(20)) % np.uint64(blocks)
                 order = np.argsort(block, kind="stable")
                 cut = np.searchsorted(block[order], np.arange(blocks + 1, dtype=np.uint64))
@@ -101,7 +104,7 @@ def _incidence(docs: DataFrame, blocks: int, n: int) -> DataFrame:
                     out["block"].append(b)
                     out["sets"].append(names[used].tobytes())
                     out["sizes"].append(sizes[used].tobytes())
-                    out["row"].append(at.astype(np.uint32).tobytes())
+                    out["row"].append(at.astype(np.uint16).tobytes())
                     out["gram"].append(grams[own].tobytes())
                 yield T.arrow_batch(schema, out)
 
@@ -118,7 +121,7 @@ def _shared_columns(incidence: DataFrame, groups: int) -> DataFrame:
                         ("rows", pa.binary())])
 
     def run(table: pa.Table) -> pa.Table:
-        names, sizes, rows, grams = _pieces(table, ("sets", np.int64), ("sizes", np.int64), ("row", np.uint32),
+        names, sizes, rows, grams = _pieces(table, ("sets", np.int64), ("sizes", np.int64), ("row", np.uint16),
                                             ("gram", np.uint64))
         gram = np.concatenate(grams)
         name = np.concatenate([s[r] for s, r in zip(names, rows)])
@@ -146,8 +149,10 @@ def _shared_columns(incidence: DataFrame, groups: int) -> DataFrame:
 
 
 def _rows(shared: DataFrame, per_cent: int) -> DataFrame:
-    """Rows with enough shared columns: (set_id, size, grams, prefix); grams are sorted, prefix holds the rarest."""
-    schema = pa.schema([("set_id", pa.int64()), ("size", pa.int64()), ("grams", pa.binary()), ("prefix", pa.list_(pa.int64()))])
+    """Rows with enough shared columns: (set_id, size, grams, prefix, before); grams are the shared ones, sorted,
+    prefix the rarest of them, before the number of columns the row alone has."""
+    schema = pa.schema([("set_id", pa.int64()), ("size", pa.int64()), ("grams", pa.binary()), ("prefix", pa.list_(pa.int64())),
+                        ("before", pa.int64())])
 
     def run(table: pa.Table) -> pa.Table:
         names, sizes, grams, counts = (np.concatenate(x) for x in _pieces(
@@ -165,9 +170,10 @@ def _rows(shared: DataFrame, per_cent: int) -> DataFrame:
             out["size"].append(size)
             out["grams"].append(np.sort(grams[s:e]).tobytes())
             out["prefix"].append(grams[s:s + (e - s) - least + 1].view(np.int64))
+            out["before"].append(size - (e - s))
         return pa.Table.from_batches([T.arrow_batch(schema, out)])
 
-    return shared.groupBy("part").applyInArrow(run, "set_id long, size long, grams binary, prefix array<long>")
+    return shared.groupBy("part").applyInArrow(run, "set_id long, size long, grams binary, prefix array<long>, before long")
 
 
 def _linked(pairs: DataFrame, rows: DataFrame, per_cent: int) -> DataFrame:
@@ -192,48 +198,66 @@ def _linked(pairs: DataFrame, rows: DataFrame, per_cent: int) -> DataFrame:
     return pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(run, "a long, b long")
 
 
-def _sizes_fit(per_cent: int):
-    return (100 * F.least("size_a", "size_b") >= per_cent * F.greatest("size_a", "size_b"))
-
-
-def links(rows: DataFrame, per_cent: int = PER_CENT, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
-    """Links (a, b) between rows that connect every two linked rows, directly or through others."""
-    entries = cut_lineage(rows.select(F.explode("prefix").alias("gram"), "set_id", "size"), "prefixes")
-    meet = entries.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-    entries = cut_lineage(entries.join(meet, "gram").withColumn("home", F.col("set_id")), "meeting")
-    found = []
-    for _ in range(hub_rounds):
-        hubs = (entries.groupBy("gram").agg(F.min(F.struct("home", "set_id", "size")).alias("hub"), F.max("home").alias("other"))
-                .where("hub.home < other"))
-        tried = (entries.join(hubs, "gram").where("home > hub.home")
-                 .select(F.col("hub.set_id").alias("a"), F.col("set_id").alias("b"), F.col("hub.size").alias("size_a"),
-                         F.col("size").alias("size_b")).where(_sizes_fit(per_cent))
-                 .groupBy("a", "b").agg(F.count("*").alias("n")))
-        best = tried.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a"))
-        new = cut_lineage(_linked(best, rows, per_cent), "hub-links")
-        found.append(new)
-        # every home in a hub's component moves to the hub's home: sound, and enough to settle most pairs
-        homes = entries.select("set_id", "home").distinct()
-        step = (new.join(homes.select(F.col("set_id").alias("a"), F.col("home").alias("to")), "a")
-                .join(homes.select(F.col("set_id").alias("b"), F.col("home").alias("from")), "b")
-                .groupBy("from").agg(F.min("to").alias("to")).where("`to` < `from`"))
-        step = cut_lineage(step, "homes")
-        for _ in range(2):
-            onward = step.select(F.col("from").alias("to"), F.col("to").alias("next"))
-            step = step.join(onward, "to", "left").select("from", F.coalesce("next", "to").alias("to"))
-        entries = cut_lineage(entries.join(step, F.col("home") == F.col("from"), "left")
-                              .select("gram", "set_id", "size", F.coalesce("to", "home").alias("home")), "meeting")
-    open_ = entries.groupBy("gram").agg(F.min("home").alias("lo"), F.max("home").alias("hi")).where("lo < hi").select("gram")
-    left = cut_lineage(entries.join(open_, "gram"), "open")
-    x, y = (left.select("gram", F.col("set_id").alias(k), F.col("size").alias(f"size_{k}"), F.col("home").alias(f"home_{k}"))
-            for k in "ab")
-    rest = (x.join(y, "gram").where((F.col("home_a") < F.col("home_b")) & _sizes_fit(per_cent))
-            .select("a", "b").distinct())
-    found.append(_linked(cut_lineage(rest, "rest"), rows, per_cent))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return cut_lineage(out.distinct(), "links")
+def _can_link(per_cent: int):
+    """A pair meeting at these places has at most the columns from there on in common, if it has none before;
+    a linked pair passes where it first meets. Also implies the bound on the sizes alone."""
+    rest = F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))
+    return (100 + per_cent) * rest >= per_cent * (F.col("size_a") + F.col("size_b"))
+
+
+def _side(entries: DataFrame, x: str) -> DataFrame:
+    return entries.select("gram", *[F.col(c).alias(f"{n}_{x}") for c, n in (
+        ("set_id", "set"), ("size", "size"), ("at", "at"), ("home", "home"), ("home_centre", "centre"))])
+
+
+def _towards_hubs(entries: DataFrame, rows: DataFrame, hubs: int, per_cent: int) -> DataFrame:
+    """(home, to): homes that a link with a hub joins to another home. The hubs of a column are its most central rows.
+
+    Homes move only to more central ones, so moves cannot go round in a circle.
+    """
+    first = Window.partitionBy("gram").orderBy(F.desc("centre"), F.desc("set_id"))
+    chosen = entries.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= hubs)
+    onward = F.struct("centre_a", "home_a") > F.struct("centre_b", "home_b")
+    tried = (_side(entries, "b").join(_side(chosen, "a"), "gram").where(onward & _can_link(per_cent))
+             .groupBy("set_a", "set_b", "home_a", "home_b", "centre_a").agg(F.count("*").alias("n")))
+    if hubs == 1:
+        tried = tried.groupBy("set_b").agg(F.max_by(F.struct("set_a", "home_a", "home_b", "centre_a"), F.struct("n", "set_a")).alias("to")).select("set_b", "to.*")
+    tried = cut_lineage(tried.select(F.col("set_a").alias("a"), F.col("set_b").alias("b"), "home_a", "home_b", "centre_a"), "hub-pairs")
+    linked = _linked(tried.select("a", "b"), rows, per_cent)
+    moves = linked.join(tried, ["a", "b"]).groupBy(F.col("home_b").alias("home")).agg(F.max(F.struct("centre_a", "home_a")).alias("to"))
+    return cut_lineage(moves.select("home", F.col("to.home_a").alias("to"), F.col("to.centre_a").alias("to_centre")), "moves")
+
+
+def known_components(rows: DataFrame, per_cent: int = PER_CENT, hub_turns=HUB_TURNS) -> DataFrame:
+    """(set_id, component) of the rows that meet another in a prefix; component is one of their names.
+
+    home is a component known so far, named by its most central row. Central rows are those with the
+    most rows in the columns of their prefix, such as the original of a group of copies.
+    """
+    entries = cut_lineage(rows.select(F.posexplode("prefix").alias("at", "gram"), "set_id", "size", "before")
+                          .select("gram", "set_id", "size", (F.col("at") + F.col("before")).alias("at")), "prefixes")
+    meet = entries.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
+    entries = cut_lineage(entries.join(meet, "gram"), "meeting")
+    centre = entries.groupBy("set_id").agg(F.sum("n").alias("centre")).withColumnRenamed("set_id", "c_id")
+    entries = cut_lineage(entries.join(centre, F.col("set_id") == F.col("c_id")).select(
+        "gram", "set_id", "size", "at", "centre", F.col("set_id").alias("home"), F.col("centre").alias("home_centre")), "central")
+    homes = entries.select("set_id", "home", "home_centre").distinct()
+    left = entries
+    for hubs in hub_turns:
+        moves = _towards_hubs(left, rows, hubs, per_cent)
+        next_ = moves.select(F.col("home").alias("to"), F.col("to").alias("to_2"), F.col("to_centre").alias("centre_2"))
+        moves = moves.join(next_, "to", "left").select("home", F.coalesce("to_2", "to").alias("to"), F.coalesce("centre_2", "to_centre").alias("to_centre"))
+        homes = cut_lineage(homes.join(moves, "home", "left").select(
+            "set_id", F.coalesce("to", "home").alias("home"), F.coalesce("to_centre", "home_centre").alias("home_centre")), "homes")
+        left = left.drop("home", "home_centre").join(homes, "set_id")
+        mixed = left.groupBy("gram").agg(F.min("home").alias("lo"), F.max("home").alias("hi")).where("lo < hi").select("gram")
+        left = cut_lineage(left.join(mixed, "gram"), "open")
+    rest = (_side(left, "a").join(_side(left, "b"), "gram").where((F.col("home_a") < F.col("home_b")) & _can_link(per_cent))
+            .groupBy(F.col("set_a").alias("a"), F.col("set_b").alias("b")).agg(F.first("home_a").alias("home_a"), F.first("home_b").alias("home_b")))
+    rest = cut_lineage(rest, "rest")
+    linked = _linked(rest.select("a", "b"), rows, per_cent).join(rest, ["a", "b"])
+    joined = components(linked.select(F.col("home_a").alias("a"), F.col("home_b").alias("b")).distinct())
+    return homes.join(joined, homes["home"] == joined["id"], "left").select("set_id", F.coalesce("component", "home").alias("component"))
 
 
 def document_components(docs: DataFrame, n: int = N, per_cent: int = PER_CENT) -> DataFrame:
@@ -244,7 +268,7 @@ def document_components(docs: DataFrame, n: int = N, per_cent: int = PER_CENT) -
     blocks = max(shuffles, -(-total // BLOCK_ENTRIES))
     shared = _shared_columns(_incidence(docs, blocks, n), blocks)
     rows = cut_lineage(_rows(shared, per_cent), "rows")
-    joined = components(links(rows, per_cent))
+    joined = known_components(rows, per_cent).withColumnRenamed("set_id", "id")
     # one row per set and per component; the rows of a set merge before the shuffle
     least = sets.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("least"))
     least = least.join(joined, least["set_id"] == joined["id"], "left").select("set_id", "least", F.coalesce("component", "set_id").alias("component"))

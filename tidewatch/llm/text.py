@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 # Texts are handled in pieces of about so many bytes; one longer text is a piece of its own.
 CHUNK_BYTES = 2_000_000
+CHUNK_TEXTS = 50_000
 
 _U = np.uint64
 _BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
@@ -114,7 +115,7 @@ def chunks(texts: pa.Array | pa.ChunkedArray, limit: int = CHUNK_BYTES) -> Itera
     at, size, held = 0, 0, []
     for value in texts.cast(pa.large_binary()):
         value = value.as_py()
-        if held and size + len(value or b"") > limit:
+        if held and (size + len(value or b"") > limit or len(held) == CHUNK_TEXTS):
             yield at, held
             at, size, held = at + len(held), 0, []
         held.append(value)

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from tidewatch.llm import text as T
 
 _BASE = 0xA0761D6478BD642F
+#: The sample is turned into features in pieces of about so many bytes, which bounds the memory of a fit.
+SAMPLE_BYTES = 300_000
 
 
 def remainder(doc_id: Column, modulus: int) -> Column:
@@ -115,7 +117,7 @@ def sample_matrix(texts: list[str | None], **how) -> tuple[np.ndarray, np.ndarra
     With repeat_weight, the pair of a word with itself is a feature of its own, in the bucket after the last."""
     once, weight = how.pop("once"), how.pop("repeat_weight", 0)
     rows, buckets, counts, totals = [], [], [], []
-    for at, part in T.chunks(pa.array(texts, pa.string())):
+    for at, part in T.chunks(pa.array(texts, pa.string()), SAMPLE_BYTES):
         g = word_grams(part, **how)
         row, bucket, n = text_features(g, once)
         if weight:
@@ -124,9 +126,9 @@ def sample_matrix(texts: list[str | None], **how) -> tuple[np.ndarray, np.ndarra
                               np.r_[n, weight * again[again > 0]])
             order = np.argsort(row, kind="stable")
             row, bucket, n = row[order], bucket[order], n[order]
-        rows.append(row + at)
-        buckets.append(bucket)
-        counts.append(n)
+        rows.append((row + at).astype(np.int32))
+        buckets.append(bucket.astype(np.int32))
+        counts.append(n.astype(np.float32))
         totals.append(np.bincount(text_words(g, once)[0], minlength=len(part)))
     row = np.concatenate(rows) if rows else np.zeros(0, np.int64)
     return (np.searchsorted(row, np.arange(len(texts) + 1)), np.concatenate(buckets or [row]), np.concatenate(counts or [row]),

@@ -20,7 +20,7 @@ from tidewatch.llm import text as T
 
 SIZES = (3, 4, 5)
 BUCKETS = 1 << 19
-PER_CLASS = 2000
+PER_CLASS = 1500
 MOST_CHARS = 100_000
 MODULUS, HELD_OUT = 3, 1
 AT_LEAST = 0.7
@@ -35,7 +35,7 @@ FORM = {"sizes": SIZES, "buckets": BUCKETS, "lower": True}
 def fit(labels: np.ndarray, texts: list[str]) -> tuple[np.ndarray, float]:
     """(weight of each bucket, intercept)."""
     first, bucket, count, words = G.sample_matrix(texts, once=True, **FORM)
-    row = np.repeat(np.arange(len(texts)), np.diff(first))
+    row = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(first))
     toxic = labels == 1
     if toxic.all() or not toxic.any():  # nothing to tell apart: the share of toxic texts, whatever the text
         return np.zeros(BUCKETS), 6.0 if len(labels) and toxic.all() else -6.0
@@ -43,9 +43,13 @@ def fit(labels: np.ndarray, texts: list[str]) -> tuple[np.ndarray, float]:
     share = [(h + SMOOTHING) / (h + SMOOTHING).sum() for h in have]
     ratio = np.where(have[0] + have[1] >= LEAST_TEXTS, np.log(share[0] / share[1]), 0.0)
     used = ratio[bucket] != 0
-    kept, bucket = np.unique(bucket[used], return_inverse=True)
-    row, count, ratio = row[used], count[used], ratio[kept]
-    value = ratio[bucket] * count / np.sqrt(np.maximum(words, 1))[row]
+    row, bucket, count = row[used], bucket[used], count[used]
+    kept = np.flatnonzero(np.bincount(bucket, minlength=BUCKETS))
+    place = np.zeros(BUCKETS, np.int32)
+    place[kept] = np.arange(len(kept))
+    bucket, ratio = place[bucket], ratio[kept]
+    value = (ratio.astype(np.float32)[bucket] * count / np.sqrt(np.maximum(words, 1)).astype(np.float32)[row])
+    del used, count, place
     # both classes weigh the same; full-batch steps with momentum and a step size for each weight, the last one's being the intercept
     balance = np.where(toxic, 0.5 / toxic.sum(), 0.5 / (~toxic).sum())
     weight, side, speed = (np.zeros(len(kept) + 1) for _ in range(3))

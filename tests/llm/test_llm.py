@@ -304,6 +304,21 @@ def test_main_text(spark):
     assert html.extract_pages(table).count() == len(rows) and html.extract_pages(table.limit(0)).count() == 0
 
 
+def test_main_text_in_sibling_containers(spark):
+    """An article in several containers, a template of few pages with a teaser in the large one's container, words of the site."""
+    site = "<div class=motto><p>The site with news of all the world, every day</p></div>"
+    rows = [page(f"{site}<div class=post><h1>T{n}</h1><div class=lead><p>{f'lead{n} ' * 15}</p></div><div class=body><p>{f'body{n} ' * 80}</p></div></div>",
+                 n=n) for n in range(1, 13)]
+    rows += [page(f"{site}<div class=post><div class=body><p>Read teaser{n} next</p></div></div><div class=story><p>{f'story{n} ' * 60}</p></div>",
+                  n=n) for n in (21, 22)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html.extract_pages(table).collect()}
+    for n in range(1, 13):
+        assert got[n] == " ".join([f"T{n}"] + [f"lead{n}"] * 15 + [f"body{n}"] * 80)
+    for n in (21, 22):
+        assert got[n].endswith(" ".join([f"story{n}"] * 60)) and "The site" not in got[n]
+
+
 def rows_twice(rows):
     return rows[0]
 

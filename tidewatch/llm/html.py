@@ -5,14 +5,18 @@
    from the body down with numbers masked, so that all pages of a template agree on it.
 2. A page splits one vote over its paths by text outside links. Votes are summed per host in Spark;
    the best path of a host and those close to it win.
-3. Pages are read again and the text of the winning containers is kept, without the parts that are
-   no article text wherever they stand. A page that has no winning container uses its own best one.
+3. Pages are read again. A page keeps its winning containers, and its own best one where those hold
+   little of it. An article or main element bounds the article; without one, the article may be
+   spread over siblings, and all under the lowest common ancestor of what holds a part of it is kept.
+   Left out are the parts that are no article text wherever they stand, and the containers that have
+   the same words on every page of the host while the pages differ.
 """
 
 from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from hashlib import blake2b
 from html import unescape
 
 import pyarrow as pa
@@ -24,6 +28,10 @@ from tidewatch.session import cut_lineage
 
 #: A path wins with at least so much of the best path's votes.
 WINNING_SHARE = 0.3
+#: A container with at least so much of the text of the page's best one holds a part of the article, as one with an h1 does.
+PART_SHARE = 0.05
+#: A container has the words of the site, and no article, if they are the same on at least so many pages that differ.
+FIXED_PAGES = 5
 
 RAW = {"script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "textarea", "title", "select", "math"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -228,12 +236,42 @@ def _inside(path: str, winners: list[str]) -> bool:
     return any(path == w or path.startswith(w + ">") for w in winners)
 
 
-def main_text(page: str, winners: list[str]) -> str:
+def _mark(value: str) -> int:
+    return int.from_bytes(blake2b(NUMBER.sub("#", value).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+def path_marks(found: list[Block]) -> dict[str, int]:
+    """A hash of the text that each container path has, with numbers masked."""
+    texts: dict[str, list[str]] = {}
+    for b in found:
+        texts.setdefault(_container(b.node), []).append(b.text())
+    return {p: _mark(" ".join(t)) for p, t in texts.items()}
+
+
+def _common(paths: list[str]) -> str:
+    """The lowest path that all are inside of."""
+    steps = [p.split(">") for p in (min(paths), max(paths))]
+    same = next((i for i, (x, y) in enumerate(zip(*steps)) if x != y), min(map(len, steps)))
+    return ">".join(steps[0][:same])
+
+
+def main_text(page: str, winners: list[str], fixed: list[str] = ()) -> str:
     found = blocks(page)
-    kept = [b for b in found if _inside(_container(b.node), winners)]
-    if not kept and (scores := path_scores(found)):
-        best = max(scores, key=lambda p: (scores[p], p))
-        kept = [b for b in found if _inside(_container(b.node), [best])]
+    scores = path_scores(found)
+    fixed = set(fixed)
+    own = {p: s for p, s in scores.items() if p not in fixed} or scores
+    if not own:
+        return " ".join(b.text() for b in found if _inside(_container(b.node), winners))
+    best = max(own, key=lambda p: (own[p], p))
+    seeds = [p for p in scores if _inside(p, winners)]
+    if max((scores[p] for p in seeds), default=0.0) < WINNING_SHARE * own[best] or not seeds:
+        seeds.append(best)  # a page of another make, with at most a stray block in the host's containers
+    marked = {_container(b.node) for b in found if b.node.container}
+    roots = [p for p in seeds if p in marked]
+    if len(roots) < len(seeds):
+        parts = {p for p, s in own.items() if s >= PART_SHARE * own[best]} | {_container(b.node) for b in found if b.node.tag == "h1"} - fixed
+        roots.append(_common([p for p in seeds if p not in marked] + list(parts - marked)))
+    kept = [b for b in found if (p := _container(b.node)) in seeds or p not in fixed and _inside(p, roots)]
     return " ".join(b.text() for b in kept)
 
 
@@ -241,24 +279,35 @@ HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, winners) from (host, html): the winning container paths of every host."""
-    schema = pa.schema([("host", pa.string()), ("path", pa.string()), ("votes", pa.float64())])
+    """(host, winners, fixed) from (host, html): the winning container paths of every host, and those with the same text on all its pages."""
+    names = ("votes", "pages", "least", "most", "least_page", "most_page")
+    schema = pa.schema([("host", pa.string()), ("path", pa.string()), ("votes", pa.float64()), *[(n, pa.int64()) for n in names[1:]]])
 
     def run(batches):
         for batch in batches:
-            votes: dict[tuple[str, str], float] = {}
+            paths: dict[tuple[str, str], tuple] = {}
             hosts = batch.column(0).to_pylist()
             for at, texts in T.chunks(batch.column(1)):
                 for j, value in enumerate(texts):
-                    for path, share in path_scores(blocks((value or b"").decode())).items():
-                        votes[hosts[at + j], path] = votes.get((hosts[at + j], path), 0.0) + share
-            yield T.arrow_batch(schema, {"host": [k[0] for k in votes], "path": [k[1] for k in votes], "votes": list(votes.values())})
-
-    votes = pages.select("host", "html").mapInArrow(run, "host string, path string, votes double")
-    votes = votes.groupBy("host", "path").agg(F.round(F.sum("votes"), 6).alias("votes"))  # free of the order of sums
+                    found = blocks((value or b"").decode())
+                    if not (scores := path_scores(found)):
+                        continue
+                    whole = _mark(" ".join(b.text() for b in found))
+                    for path, mark in path_marks(found).items():
+                        v, n, low, high, low_page, high_page = paths.get((hosts[at + j], path), (0.0, 0, mark, mark, whole, whole))
+                        paths[hosts[at + j], path] = (v + scores[path], n + 1, min(low, mark), max(high, mark), min(low_page, whole), max(high_page, whole))
+            columns = zip(*paths.values()) if paths else [[]] * len(names)
+            yield T.arrow_batch(schema, {"host": [k[0] for k in paths], "path": [k[1] for k in paths], **{n: list(c) for n, c in zip(names, columns)}})
+
+    votes = pages.select("host", "html").mapInArrow(run, "host string, path string, votes double, " + ", ".join(f"{n} long" for n in names[1:]))
+    votes = votes.groupBy("host", "path").agg(
+        F.round(F.sum("votes"), 6).alias("votes"),  # free of the order of sums
+        ((F.sum("pages") >= FIXED_PAGES) & (F.min("least") == F.max("most")) & (F.min("least_page") < F.max("most_page"))).alias("same"))
     best = votes.groupBy("host").agg(F.max("votes").alias("best")).withColumnRenamed("host", "best_host")
-    winning = votes.join(best, (votes["host"] == best["best_host"]) & (votes["votes"] >= WINNING_SHARE * best["best"]))
-    return winning.groupBy("host").agg(F.array_sort(F.collect_list("path")).alias("winners"))
+    wins = votes["votes"] >= WINNING_SHARE * best["best"]
+    known = votes.join(best, votes["host"] == best["best_host"]).where(wins | votes["same"]).withColumn("wins", wins)
+    return known.groupBy("host").agg(*[F.array_sort(F.collect_list(F.when(c, F.col("path")))).alias(name)
+                                       for name, c in (("winners", F.col("wins")), ("fixed", ~F.col("wins")))])
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -274,13 +323,13 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
                          F.lower(F.coalesce(F.regexp_extract(url, HOST, 1), F.lit(""))).alias("host"))
     # written, so that Spark knows its size: broadcast if small, else a join that splits large hosts
     winners = cut_lineage(host_paths(pages), "host-paths").withColumnRenamed("host", "of_host")
-    joined = pages.join(winners, pages["host"] == winners["of_host"], "left").select("page_id", "url", "html", "winners")
+    joined = pages.join(winners, pages["host"] == winners["of_host"], "left").select("page_id", "url", "html", "winners", "fixed")
 
     def run(batches):
         for batch in batches:
-            paths = batch.column(3)
+            paths, fixed = batch.column(3), batch.column(4)
             for at, texts in T.chunks(batch.column(2)):
-                found = [main_text((v or b"").decode(), paths[at + j].as_py() or []) for j, v in enumerate(texts)]
+                found = [main_text((v or b"").decode(), paths[at + j].as_py() or [], fixed[at + j].as_py() or []) for j, v in enumerate(texts)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, len(texts)), batch.column(1).slice(at, len(texts)), pa.array(found, pa.string()),
                      pa.array([len(f) for f in found], pa.int64())], names=["page_id", "url", "text", "n_chars"])

@@ -319,6 +319,12 @@ def test_main_text_in_sibling_containers(spark):
         assert got[n].endswith(" ".join([f"story{n}"] * 60)) and "The site" not in got[n]
 
 
+def test_quotes_in_tags():
+    texts = lambda body: [b.text() for b in html.blocks(body)]
+    assert texts("<article><p title=Bob's>First paragraph.</p><p>Second isn't lost</p><p>Third</p></article>") == ["First paragraph.", "Second isn't lost", "Third"]
+    assert texts("<p a = 'x>y' b=\"1>2\" c=d='e>one</p><p it's>two</p><p t=\"open>three</p>") == ["one", "two", "three"]
+
+
 def rows_twice(rows):
     return rows[0]
 

@@ -58,7 +58,8 @@ SAME_CLOSES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"t
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 PART = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
-                  r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.DOTALL)
+                  # quotes delimit a value directly after = only; elsewhere they are characters like others
+                  r"|<([a-zA-Z][^\s/>]*)((?:[^>=]+|=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*)?)*)(?:>|\Z)", re.DOTALL)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 NUMBER = re.compile(r"\d+")
 NAME_PARTS = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
@@ -167,8 +168,8 @@ def blocks(page: str) -> list[Block]:
                     break
                 if tag in INLINE and stack[i].tag not in INLINE:
                     break
-        elif m[2] or m[4]:
-            tag, attribute_text = (m[2] or m[4]).lower(), m[3] if m[2] else m[5]
+        elif m[2]:
+            tag, attribute_text = m[2].lower(), m[3]
             if tag in RAW:
                 if not attribute_text.rstrip().endswith("/"):
                     depth_of_raw = tag

@@ -284,6 +284,19 @@ def test_secrets_by_tokens(spark):
     assert "token:4:24" in secrets.scan_secrets(docs).where("doc_id = 0").first()["spans"]
 
 
+def test_secrets_of_one_case_and_in_groups():
+    pick, letters = random.Random(4), "abcdefghijklmnopqrstuvwxyz"
+    encoding = secrets._encoding(secrets.Path(secrets.VOCABULARY).read_bytes())
+    find = lambda s: secrets.token_spans(s, encoding, secrets.TOKEN_RATIO)
+    word = lambda n: "".join(pick.choices(letters, k=n))
+    low = [word(32) for _ in range(200)]
+    keys = ["-".join(word(3).upper() + f"{pick.randrange(100):02}" for _ in range(5)) for _ in range(200)]
+    for made in (low, [s.upper() for s in low], keys):
+        assert sum(find(f"x {s} y") == [(2, 3, 2 + len(s))] for s in made) >= 195
+    for s in ("user_name_id2_v1", "app/lib/db2/id1_v2", "max_number_of_retries_2", "CONSTANT_VALUE_NAME_2", "internationalization"):
+        assert find(s) == []
+
+
 def page(body, host="a.example", n=0):
     return (n, f"http://{host}/{n}", f"<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head><body>{body}</body></html>")
 

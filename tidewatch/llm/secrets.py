@@ -2,7 +2,8 @@
 
 Words of a language merge into few tokens; random strings do not. A string without white space whose
 characters per token fall below TOKEN_RATIO is reported as kind `token`, unless it has the form of a
-known digest or identifier, which look random and are no secrets.
+known digest or identifier, which look random and are no secrets. Names and paths count as such only
+if the vocabulary knows their words: separators and numbers make their tokens short, not the words.
 """
 
 from __future__ import annotations
@@ -37,8 +38,10 @@ DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 KNOWN = (
     re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}\Z"),  # universally unique identifiers
     re.compile(r"[0-9_/=+-]+\Z"),  # numbers, dates, rules
-    re.compile(rf"(?:{WORD}[0-9]{{0,4}}[-_/+]+)*{WORD}[0-9]{{0,4}}[-_/+=]*\Z"),  # words, names and paths
 )
+NAME = re.compile(rf"(?:{WORD}[0-9]{{0,4}}[-_/+]+)*{WORD}[0-9]{{0,4}}[-_/+=]*\Z")
+#: Words of so many letters must reach the ratio each; shorter ones do so together with the others.
+LONG_WORD = 5
 PIECES = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+"
 
 
@@ -52,6 +55,15 @@ def _is_known(s: str) -> bool:
     return any(p.match(s) for p in KNOWN) or len(s) in DIGEST_LENGTHS and DIGEST.match(s) is not None
 
 
+def _is_name(s: str, encoding: tiktoken.Encoding, ratio: float) -> bool:
+    """Whether a string under the ratio is a name or path whose words alone are not."""
+    if not NAME.match(s):
+        return False
+    sizes = [(len(w), len(encoding.encode_ordinary(w))) for w in re.findall(WORD, s)]
+    return (sum(n for n, _ in sizes) >= ratio * sum(t for _, t in sizes)
+            and all(n >= ratio * t for n, t in sizes if n >= LONG_WORD))
+
+
 def base_spans(s: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the fixed patterns, in code points, leftmost and without overlap within a kind."""
     found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(s) if m.end(2) - m.start(2) >= ASSIGN_LEAST]
@@ -64,7 +76,7 @@ def token_spans(s: str, encoding: tiktoken.Encoding, ratio: float) -> list[tuple
     found = []
     for m in CANDIDATE.finditer(s):
         part = m.group()
-        if not _is_known(part) and len(part) < ratio * len(encoding.encode_ordinary(part)):
+        if not _is_known(part) and len(part) < ratio * len(encoding.encode_ordinary(part)) and not _is_name(part, encoding, ratio):
             found.append((m.start(), 3, m.end()))
     return found
 

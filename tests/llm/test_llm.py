@@ -182,6 +182,32 @@ def test_graph_recall():
     assert len(q) == len(set(zip(q.tolist(), v.tolist()))) and 0.99 * true <= len(q) <= true
 
 
+class MissesPairs(hnsw.Graph):
+    """Small beams find the links of a large group, but of no pair."""
+
+    def __init__(self, vectors):
+        self.x = vectors
+
+    def links(self, queries, threshold, beam):
+        near = queries @ self.x.T >= threshold
+        return np.nonzero(near & (near.sum(axis=1) >= (16 if beam < 64 else 0))[:, None])
+
+
+def test_graph_audit_of_pairs_beside_a_large_group():
+    pick = np.random.default_rng(8)
+    unit = lambda v: v / np.linalg.norm(v, axis=1)[:, None]
+    hot = unit(unit(pick.standard_normal((1, 32))) + 0.1 * unit(pick.standard_normal((700, 32))))
+    one = unit(pick.standard_normal((700, 32)))
+    other = unit(one + 0.28 * unit(pick.standard_normal(one.shape)))
+    x = np.concatenate([hot, one, other])[pick.permutation(2100)]
+    assert hnsw.audited_beam(MissesPairs(x), 0.95, 0.99) >= 64
+    graph = hnsw.Graph(x)
+    q, _ = graph.links(x, 0.95, hnsw.audited_beam(graph, 0.95, 0.99))
+    true = (x @ x.T >= 0.95).sum(axis=1)
+    found, few = np.bincount(q, minlength=len(x)), true < 16
+    assert few.sum() >= 1400 and ((found - 1) / np.maximum(true - 1, 1))[few].mean() >= 0.98
+
+
 def test_targets(spark):
     sizes = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 20), (None, 30), ("d", 0)], "source string, size long")
     got = {r["source"]: (r["source_size"], r["target"]) for r in mixing.source_targets(sizes).collect()}

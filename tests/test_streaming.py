@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import BASE
 from tidewatch.plans.portal import portal_features
 from tidewatch.plans.trading import trading_features
-from tidewatch.schemas import PORTAL_TOPIC, STORE_FEATURES, TRADE_TOPIC
+from tidewatch.schemas import PORTAL_TOPIC, ROW, STORE_FEATURES, TRADE_TOPIC
 from tidewatch.session import cut_lineage
 from tidewatch.sources.envelope import alert_records, decoded, event_envelope
 from tidewatch.streaming.buffers import keyed_records, trimmed, user_buffers
@@ -17,12 +17,16 @@ RECORDS = "topic string, key string, value string"
 
 
 class FixedScore:
-    """Stands in for both models: the score is the number of failed logins / 10."""
+    """Stands in for both models: the score is the number of failed logins / 10.
+
+    Like every detector it hands on the row number column of its input (ROW), by which scores are joined.
+    """
 
     def transform(self, df):
         score = F.least(F.lit(1.0), F.col("p_failed_login_ratio") * F.col("p_total_logins") / 10)
         names = F.array(F.lit("p_total_logins"))
-        return df.select("user_id", score.alias("ensemble_score"), score.alias("lstm_score"),
+        return df.select("user_id", *[c for c in [ROW] if c in df.columns], score.alias("ensemble_score"),
+                         score.alias("lstm_score"),
                          names.alias("top_features"), names.alias("lstm_top_features"))
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidewatch.llm import hnsw, html, jaccard, mixing, oracles, phrases, quality, secrets, sharding, substrings, toxicity
+from tidewatch.llm import (hnsw, html, jaccard, merkle, mixing, oracles, phrases, quality, secrets, sharding, substrings,
+                           toxicity, whitening)
 
 
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -61,6 +62,14 @@ def op10_suffix_automata(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_lanczos_whitening(spark: SparkSession, d: str) -> DataFrame:
+    return whitening.whitened(_table(spark, d, "embeddings"))
+
+
+def op12_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
+    return merkle.manifest(_table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_main_text": op1_main_text,
@@ -73,6 +82,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_jaccard_join": op8_jaccard_join,
         "op9_secrets": op9_secrets,
         "op10_suffix_automata": op10_suffix_automata,
+        "op11_lanczos_whitening": op11_lanczos_whitening,
+        "op12_merkle_manifest": op12_merkle_manifest,
         "pipeline": corpus_pipeline.run,
     }
 

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from tests.llm import brute_merkle
-from tidewatch.llm import merkle, whitening
+from tidewatch.llm import merkle, packing, whitening
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 EMB = "vec_id long, embedding array<float>, label int"
@@ -97,3 +97,47 @@ def test_merkle_small_tables(spark):
     _compare(spark, [(i, "t", "en", None, 1) for i in range(17)])  # a run of one at the end
     clash = _docs(spark, [(1, "a", "en", "s", 1), (2, "b", "en", "t", 1)]).withColumn("leaf", F.lit(1))
     assert merkle.manifest(clash.withColumn("root", clash.doc_id)).count() == 2
+
+
+def _pack_check(out, texts):
+    """Every id in exactly one piece, checksums right, sequences within the context and gapless."""
+    from tokenizers import Tokenizer
+    import zlib
+    tok = Tokenizer.from_file(packing.vocabulary_path())
+    tok.encode_special_tokens = True
+    ids = {i: tok.encode(t or "", add_special_tokens=False).ids + [0] for i, t in texts}
+    assert set(out.doc_id) == set(ids)
+    for i, g in out.groupby("doc_id"):
+        g = g.sort_values("start")
+        assert list(g.start) == [0] + list(np.cumsum(g.length)[:-1]) and g.length.sum() == len(ids[i])
+        assert (g.doc_tokens == len(ids[i])).all()
+        for r in g.itertuples():
+            assert r.ids_crc32 == zlib.crc32(np.asarray(ids[i][r.start:r.start + r.length], dtype="<u4").tobytes())
+    for _, g in out.groupby("sequence_id"):
+        g = g.sort_values("offset")
+        assert list(g.offset) == [0] + list(np.cumsum(g.length)[:-1]) and g.length.sum() <= packing.CONTEXT
+        assert g.padded.nunique() == 1 and g.padded.iloc[0] >= g.length.sum()
+    return ids
+
+
+def test_packing_covers_every_id(spark):
+    rng = np.random.default_rng(5)
+    words = ["alpha", "Beta", "gamma", "δέλτα", "ωμέγα", "42", "x", "!"]
+    texts = [(i, " ".join(rng.choice(words, int(n)))) for i, n in enumerate(rng.integers(1, 900, 120))]
+    texts += [(500, None), (501, ""), (502, " ".join(["word"] * 5000)), (503, "<|endoftext|> as text")]
+    rows = [(i, t, "en", "s", 0) for i, t in texts]
+    df = spark.createDataFrame(rows, DOCS).withColumn("sequence_id", F.lit(9)).withColumn("offset", F.lit("x"))
+    out = packing.packed(df).toPandas()
+    ids = _pack_check(out, texts)
+    used = out.groupby("sequence_id").length.sum()
+    assert used.sum() == sum(len(v) for v in ids.values())
+    assert (used < packing.CONTEXT).sum() <= 1 + (out.tier == packing.CONTEXT).sum()  # only the last or unfilled ones
+    assert out[out.doc_id == 502].length.max() == packing.CONTEXT
+
+
+def test_packing_small_tables(spark):
+    assert packing.packed(spark.createDataFrame([], DOCS)).count() == 0
+    rows = [(1, "same text", "en", "s", 1), (1, "same text", "en", "s", 1), (2, None, None, None, None)]
+    out = packing.packed(spark.createDataFrame(rows, DOCS)).toPandas()
+    assert len(out) == 3 and out.sequence_id.nunique() == 1 and out.length.sum() == out.groupby("doc_id").doc_tokens.first().sum() + out[out.doc_id == 1].doc_tokens.iloc[0]
+    assert out[out.doc_id == 2].length.tolist() == [1]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidewatch.llm import (hnsw, html, jaccard, merkle, mixing, oracles, phrases, quality, secrets, sharding, substrings,
+from tidewatch.llm import (hnsw, html, jaccard, merkle, mixing, oracles, packing, phrases, quality, secrets, sharding, substrings,
                            toxicity, whitening)
 
 
@@ -70,6 +70,11 @@ def op12_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
     return merkle.manifest(_table(spark, d, "documents"))
 
 
+def op13_multi_length_packing(spark: SparkSession, d: str) -> DataFrame:
+    return packing.packed(_table(spark, d, "documents")).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "padded", "step")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_main_text": op1_main_text,
@@ -84,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_suffix_automata": op10_suffix_automata,
         "op11_lanczos_whitening": op11_lanczos_whitening,
         "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_multi_length_packing": op13_multi_length_packing,
         "pipeline": corpus_pipeline.run,
     }
 

@@ -41,7 +41,7 @@ def test_attach_splits_only_heavy_keys(spark):
     assert got.count() == 52 and got.where("k = 'h' and m = 49").count() == 50
 
 
-@pytest.mark.parametrize("options", [{}, {"block_rows": 20, "stripe_rows": 40, "max_pivots": 4, "cell_rows": 100}])
+@pytest.mark.parametrize("options", [{}, {"block_rows": 20, "stripe_rows": 40, "cells": 30}])
 def test_nearest_equals_brute_force(spark, options):
     rng = np.random.default_rng(4)
     ref = np.concatenate([rng.normal(size=(500, 6)), rng.normal(size=(300, 6)) * 0.01 + 5, np.zeros((3, 6))])

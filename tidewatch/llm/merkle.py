@@ -111,10 +111,13 @@ def _siblings(level: DataFrame) -> DataFrame:
             .select("g", (F.shiftleft("pr", _SHIFT) + F.col("e.pos")).alias("r"), "e.left", "e.right"))
 
 
-def _paths(levels: list[DataFrame], name: str) -> DataFrame | None:
-    """(g, r, path) of level-0 nodes: sibling entries bottom-up to the group's top; None without levels."""
+def _paths(levels: list[DataFrame], name: str, lowest: int = 0) -> DataFrame | None:
+    """(g, r, path) of the nodes at level `lowest`: sibling entries bottom-up to the group's top.
+
+    None where no level lies above them. Tables shrink by FANOUT a level, so the joins are cheap.
+    """
     up = None
-    for depth in range(len(levels) - 1, -1, -1):
+    for depth in range(len(levels) - 1, lowest - 1, -1):
         here = _siblings(levels[depth]).select("g", "r", F.array(F.struct("left", "right")).alias("path"))
         if up is not None:
             parent = up.select(F.col("g").alias("_g"), F.col("r").alias("_r"), F.col("path").alias("_up"))
@@ -124,6 +127,13 @@ def _paths(levels: list[DataFrame], name: str) -> DataFrame | None:
     return up
 
 
+def _own_siblings(kids: str, pos: Column) -> Column:
+    """struct(left, right): the digests of a group's children before and after position `pos`."""
+    digests = F.transform(kids, lambda k: k["digest"])
+    return F.struct(F.concat_ws("", F.slice(digests, 1, pos)).alias("left"),
+                    F.concat_ws("", F.slice(digests, pos + 2, F.size(kids) - pos - 1)).alias("right"))
+
+
 def manifest(docs: DataFrame) -> DataFrame:
     """(doc_id, leaf, subroot, root, proof_sha256, folded_root, verified) per row of `docs`."""
     cols = [F.col(f) for f in FIELDS]
@@ -134,7 +144,7 @@ def manifest(docs: DataFrame) -> DataFrame:
         leaf_digest(*cols).alias("digest"),
         leaf_digest(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"),
                     F.when(tamper, F.translate(text, _UPPER, _LOWER)).otherwise(text)).alias("tampered"))
-    ranked = _ranked(leaves, "g", ["doc_id", "digest"])
+    ranked = _ranked(cut_lineage(leaves, "merkle-leaves"), "g", ["doc_id", "digest"])
     levels, subroots = _levels(ranked.select("g", "r", "digest", "c"), "merkle")
     # the tree of subroots: one group, ranked by source
     sub = subroots.select(F.lit(0).alias("one"), F.col("g").alias("src"), "digest")
@@ -155,11 +165,22 @@ def manifest(docs: DataFrame) -> DataFrame:
     else:
         per_source = per_source.withColumn("src_path", empty_path)
     per_source = per_source.select("src", "subroot", F.coalesce("src_path", empty_path).alias("src_path"))
-    leaf_paths = _paths(levels, "merkle")
+    # a leaf's own siblings come from its parent's children in the final join; only the paths of the
+    # levels above (FANOUT times fewer rows) are written, never one of every leaf
     rows = ranked.select("doc_id", "g", "r", F.col("digest").alias("leaf"), "tampered")
-    if leaf_paths is not None:
-        rows = (rows.join(leaf_paths.select(F.col("g").alias("_g"), F.col("r").alias("_r"), "path"),
-                          rows["g"].eqNullSafe(F.col("_g")) & (rows["r"] == F.col("_r")), "left").drop("_g", "_r"))
+    if levels:
+        parents = levels[0].select(F.col("g").alias("_g"), F.col("pr").alias("_pr"), "kids")
+        upper = _paths(levels, "merkle", lowest=1)
+        if upper is not None:
+            parents = (parents.join(upper.select(F.col("g").alias("_ug"), F.col("r").alias("_ur"), F.col("path").alias("_up")),
+                                    parents["_g"].eqNullSafe(F.col("_ug")) & (parents["_pr"] == F.col("_ur")), "left")
+                       .drop("_ug", "_ur"))
+        else:
+            parents = parents.withColumn("_up", empty_path)
+        rows = rows.join(parents, rows["g"].eqNullSafe(parents["_g"]) & (F.shiftright(rows["r"], _SHIFT) == parents["_pr"]), "left")
+        own = F.array(_own_siblings("kids", F.col("r").bitwiseAND(FANOUT - 1).cast("int")))
+        rows = rows.withColumn("path", F.when(F.col("kids").isNull(), empty_path)
+                               .otherwise(F.concat(own, F.coalesce("_up", empty_path)))).drop("_g", "_pr", "kids", "_up")
     else:
         rows = rows.withColumn("path", empty_path)
     rows = rows.join(per_source, rows["g"].eqNullSafe(per_source["src"]), "left")

@@ -10,8 +10,9 @@ from tidewatch.schemas import PORTAL_TOPIC, ROW, STORE_FEATURES, TRADE_TOPIC
 from tidewatch.session import cut_lineage
 from tidewatch.sources.envelope import alert_records, decoded, event_envelope
 from tidewatch.streaming.buffers import keyed_records, trimmed, user_buffers
-from tidewatch.streaming.scoring import (StreamScorer, buffered_events, first_alerts, publish_to, quick_features,
-                                         read_alerts, run_to_end)
+from tidewatch.streaming.scoring import (ALERT_BUCKETS, BUCKET, StreamScorer, alert_bucket, buffered_events,
+                                         earlier_alerts, first_alerts, publish_to, quick_features, read_alerts,
+                                         run_to_end)
 
 RECORDS = "topic string, key string, value string"
 
@@ -150,3 +151,21 @@ def test_alert_records(spark):
     alerts = spark.createDataFrame([("ALT-1", "U1", ["x"])], "alert_id string, user_id string, findings array<string>")
     row = alert_records(alerts, "out").first()
     assert (row.topic, row.key, row.value) == ("out", "U1", '{"alert_id":"ALT-1","user_id":"U1","findings":["x"]}')
+
+
+def test_alert_memory_reads_only_the_raised_users_buckets(spark, tmp_path):
+    """Over 20 batches of 200 alerted users each, a batch that raises one user reads one bucket."""
+    path = str(tmp_path / "alerts")
+    for batch in range(20):
+        users = spark.createDataFrame([(f"u{batch}-{i}", 0.9) for i in range(200)], "user_id string, final_score double")
+        users.withColumn(BUCKET, alert_bucket()).write.partitionBy(BUCKET).parquet(f"{path}/batch_id={batch}")
+    raised = spark.createDataFrame([("u3-7", 0.8)], "user_id string, final_score double").withColumn(BUCKET, alert_bucket())
+    bucket = raised.first()[BUCKET]
+    earlier = earlier_alerts(spark, path, raised, 20)
+    plan = earlier._jdf.queryExecution().executedPlan().toString()
+    pruned = plan[plan.index("PartitionFilters: ["):].split("]")[0]
+    assert f"= {bucket})" in pruned or f"IN ({bucket})" in pruned  # only the user's bucket folders are read
+    assert earlier.count() == read_alerts(spark, path).withColumn(BUCKET, alert_bucket()).where(f"{BUCKET} = {bucket}").count()
+    assert earlier.count() < 2 * 20 * 200 / ALERT_BUCKETS + 20
+    assert earlier.join(raised.select("user_id"), "user_id", "left_semi").count() == 1
+    assert BUCKET not in read_alerts(spark, path).columns and earlier_alerts(spark, path, raised, 3).where("batch_id >= 3").count() == 0

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import finite_or_zero
@@ -26,6 +26,9 @@ from ..sources.envelope import alert_records, decoded
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
+#: Folders of the alert table inside a batch's folder; a batch reads only those of its users.
+ALERT_BUCKETS = 64
+BUCKET = "bucket"
 
 
 def buffered_events(buffers: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -65,7 +68,9 @@ class StreamScorer:
     """What a micro-batch is scored with, and where its alerts go.
 
     The alert table is the memory of who was alerted: one folder per micro-batch, rewritten
-    when the batch is replayed, so a restart neither repeats nor loses an alert.
+    when the batch is replayed, so a restart neither repeats nor loses an alert. Inside a batch's
+    folder alerts lie in ALERT_BUCKETS folders by a hash of the user; a batch reads only the buckets
+    of the users it raises (partition pruning), so what it reads does not grow with the stream's length.
     """
 
     baseline: BaselineModel
@@ -83,30 +88,55 @@ class StreamScorer:
         features = {"quick": quick_features, "full": full_features}[self.mode](*buffered_events(buffers))
         scores = blended_scores(cut_lineage(features, "stream-features"), self.baseline, self.autoencoder,
                                 self.threshold)
-        raised = cut_lineage(scores.where("is_alert"), "raised")
-        earlier = read_alerts(spark, self.alert_path)
+        raised = cut_lineage(scores.where("is_alert").withColumn(BUCKET, alert_bucket()), "raised")
+        earlier = earlier_alerts(spark, self.alert_path, raised, batch_id)
         if earlier is not None:
-            # The batch's few users are looked up in the alert table, not the other way round.
-            known = earlier.where(F.col("batch_id") < batch_id).join(raised.select(KEY), KEY, "left_semi")
+            # The batch's few users are looked up in their buckets of the alert table only.
+            known = earlier.join(raised.select(KEY), KEY, "left_semi")
             raised = raised.join(known.select(KEY), KEY, "left_anti")
+        raised = raised.drop(BUCKET)
         events, trades = buffered_events(buffers.join(raised.select(KEY), KEY, "left_semi"))
         alerts = build_alerts(raised.select(KEY, "final_score", "if_score", "ae_score", "top_features"),
                               portal_rule_stats(events, **self.rule_windows), trading_rule_stats(trades),
                               self.as_of or datetime.now(timezone.utc).replace(tzinfo=None), **self.rule_windows)
         target = os.path.join(self.alert_path, f"batch_id={batch_id}")
-        alerts.write.mode("overwrite").parquet(target)
-        if self.publish is not None:
-            self.publish(alert_records(spark.read.parquet(target), ALERT_TOPIC))
+        alerts.withColumn(BUCKET, alert_bucket()).write.mode("overwrite").partitionBy(BUCKET).parquet(target)
+        written = _alert_memory(spark, target)  # None: the batch raised no alert (no bucket folder)
+        if self.publish is not None and written is not None:
+            self.publish(alert_records(written.drop(BUCKET), ALERT_TOPIC))
 
 
-def read_alerts(spark: SparkSession, path: str) -> DataFrame | None:
-    """The alert table with its batch_id, or None before the first batch."""
+def alert_bucket() -> Column:
+    """The folder of a user's alerts inside a batch's folder."""
+    return F.pmod(F.xxhash64(F.col(KEY)), F.lit(ALERT_BUCKETS)).cast("int")
+
+
+def earlier_alerts(spark: SparkSession, path: str, raised: DataFrame, batch_id: int) -> DataFrame | None:
+    """Alerts of batches before `batch_id` in the buckets of the users of `raised` (which has BUCKET).
+
+    Only those buckets' folders are listed and read, whatever the number of batches before.
+    """
+    table = _alert_memory(spark, path)
+    if table is None:
+        return None
+    buckets = [r[BUCKET] for r in raised.select(BUCKET).distinct().collect()]  # at most ALERT_BUCKETS
+    return table.where(F.col(BUCKET).isin(buckets) & (F.col("batch_id") < batch_id))
+
+
+def _alert_memory(spark: SparkSession, path: str) -> DataFrame | None:
+    """The alert table with batch_id and bucket as partition columns, or None before the first batch."""
     try:
         return spark.read.parquet(path)
     except AnalysisException:
         return None
 
 
+def read_alerts(spark: SparkSession, path: str) -> DataFrame | None:
+    """The alert table with its batch_id, or None before the first batch."""
+    table = _alert_memory(spark, path)
+    return None if table is None else table.drop(BUCKET)
+
+
 def first_alerts(alerts: DataFrame, limit: int = 20) -> DataFrame:
     """The first `limit` alerts of a finished run, in order of batch and score."""
     return alerts.orderBy("batch_id", F.col("final_score").desc(), KEY).limit(limit)

@@ -103,7 +103,7 @@ def _pack_check(out, texts):
     """Every id in exactly one piece, checksums right, sequences within the context and gapless."""
     from tokenizers import Tokenizer
     import zlib
-    tok = Tokenizer.from_file(packing.vocabulary_path())
+    tok = Tokenizer.from_file(packing.vocabulary_path("byte_bpe_50k.json"))
     tok.encode_special_tokens = True
     ids = {i: tok.encode(t or "", add_special_tokens=False).ids + [0] for i, t in texts}
     assert set(out.doc_id) == set(ids)

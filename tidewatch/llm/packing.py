@@ -62,7 +62,11 @@ def _encoder(ranks_path: str):
 
 
 def _tokenised(docs: DataFrame, ranks_path: str) -> DataFrame:
-    """(rk, doc_id, ids array<int>, n): each row's ids and END_ID; rk numbers the rows of the scan."""
+    """(rk, doc_id, n, full_crcs, rest_crc, tail) per row; rk numbers the rows of the scan.
+
+    n counts the ids with END_ID. The pieces of whole contexts and the remainder are known here, so their
+    checksums are made here; only a short remainder (at most CONTEXT / 2 ids, cut later) keeps its ids.
+    """
     def encode(batches):
         enc = _encoder(ranks_path)
         for b in batches:
@@ -71,23 +75,27 @@ def _tokenised(docs: DataFrame, ranks_path: str) -> DataFrame:
             lo = 0
             while lo < len(texts):  # pieces of about CHUNK_CHARS characters, at least one text
                 hi = max(lo + 1, int(np.searchsorted(sizes, (sizes[lo - 1] if lo else 0) + CHUNK_CHARS, "right")))
-                encoded = enc.encode_ordinary_batch([t or "" for t in texts[lo:hi]], num_threads=1)
-                lengths = np.fromiter((len(e) + 1 for e in encoded), np.int64, len(encoded))
-                offsets = np.concatenate([[0], np.cumsum(lengths)])
-                values = np.full(offsets[-1], END_ID, np.int32)
-                for e, at in zip(encoded, offsets[:-1]):
-                    values[at:at + len(e)] = e
-                del encoded
+                n, full, rest, tails = [], [], [], []
+                for e in enc.encode_ordinary_batch([t or "" for t in texts[lo:hi]], num_threads=1):
+                    ids = np.empty(len(e) + 1, "<u4")
+                    ids[:-1] = e
+                    ids[-1] = END_ID
+                    q = len(ids) // CONTEXT
+                    n.append(len(ids))
+                    full.append([zlib.crc32(ids[k * CONTEXT:(k + 1) * CONTEXT].tobytes()) for k in range(q)])
+                    tail = ids[q * CONTEXT:]
+                    rest.append(zlib.crc32(tail.tobytes()) if len(tail) else None)
+                    tails.append(tail.astype(np.int32) if 0 < len(tail) <= CONTEXT // 2 else None)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("rk").slice(lo, hi - lo), b.column("doc_id").slice(lo, hi - lo),
-                     pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values)), pa.array(lengths)],
-                    ["rk", "doc_id", "ids", "n"])
+                    [b.column("rk").slice(lo, hi - lo), b.column("doc_id").slice(lo, hi - lo), pa.array(n, pa.int64()),
+                     pa.array(full, pa.list_(pa.int64())), pa.array(rest, pa.int64()), pa.array(tails, pa.list_(pa.int32()))],
+                    ["rk", "doc_id", "n", "full_crcs", "rest_crc", "tail"])
                 lo = hi
 
     # the scan's partitions are the same in every attempt, so the row numbers are too
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"),
                        F.monotonically_increasing_id().alias("rk"))
-    return rows.mapInArrow(encode, "rk long, doc_id long, ids array<int>, n long")
+    return rows.mapInArrow(encode, "rk long, doc_id long, n long, full_crcs array<long>, rest_crc long, tail array<int>")
 
 
 def _prefix(df: DataFrame, keys: list, value: str, name: str) -> DataFrame:
@@ -127,31 +135,32 @@ def packed(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     spark = docs.sparkSession
     tokens = cut_lineage(_tokenised(docs, vocabulary or vocabulary_path()), "pack-ids")
     counts = tokens.select("rk", "n", (F.col("n") / CONTEXT).cast("long").alias("q"),
-                           (F.col("n") % CONTEXT).alias("m"))
+                           (F.col("n") % CONTEXT).alias("m"), "full_crcs", "rest_crc")
     # full sequences: numbered by a prefix sum of whole contexts over the rows
     full_docs = _prefix(counts.where(F.col("q") > 0), [F.col("rk")], "q", "pack-full")
-    full = full_docs.select("rk", F.posexplode(F.sequence(F.lit(0).cast("long"), F.col("q") - 1)).alias("k", "_"),
-                            F.col("_at").alias("base")).select(
+    full = full_docs.select("rk", F.posexplode("full_crcs").alias("k", "ids_crc32"), F.col("_at").alias("base")).select(
         "rk", (F.col("k") * CONTEXT).alias("start"), F.lit(CONTEXT).cast("long").alias("length"),
-        (F.col("base") + F.col("k")).alias("seq"), F.lit(0).cast("long").alias("offset"))
+        (F.col("base") + F.col("k")).alias("seq"), F.lit(0).cast("long").alias("offset"), "ids_crc32")
     n_full = full_docs.agg(F.coalesce(F.sum("q"), F.lit(0))).first()[0]
-    rest = counts.where(F.col("m") > 0).select("rk", (F.col("q") * CONTEXT).alias("start"), F.col("m").alias("length"))
+    rest = counts.where(F.col("m") > 0).select("rk", (F.col("q") * CONTEXT).alias("start"), F.col("m").alias("length"),
+                                               "rest_crc")
     # long windows: one sequence each, numbered after the full ones; gaps get positions in gap space
     long_ = _prefix(rest.where(F.col("length") > CONTEXT // 2).withColumn("_one", F.lit(1).cast("long")),
                     [F.col("rk")], "_one", "pack-long")
-    long_ = cut_lineage(_prefix(long_.select("rk", "start", "length", (F.col("_at") + n_full).alias("seq"),
+    long_ = cut_lineage(_prefix(long_.select("rk", "start", "length", "rest_crc", (F.col("_at") + n_full).alias("seq"),
                                              (CONTEXT - F.col("length")).alias("gap")),
                                 [F.col("seq")], "gap", "pack-gaps"), "pack-long-at")
-    windows = long_.select("rk", "start", "length", "seq", F.lit(0).cast("long").alias("offset"))
+    windows = long_.select("rk", "start", "length", "seq", F.lit(0).cast("long").alias("offset"),
+                           F.col("rest_crc").alias("ids_crc32"))
     n_long, gaps = long_.agg(F.count(F.lit(1)), F.coalesce(F.sum("gap"), F.lit(0))).first()
     # short pieces, larger tiers first, get positions in the poured stream
-    short = rest.where(F.col("length") <= CONTEXT // 2).withColumn("tier", _tier(F.col("length")))
+    short = rest.where(F.col("length") <= CONTEXT // 2).drop("rest_crc").withColumn("tier", _tier(F.col("length")))
     short = cut_lineage(_prefix(short, [F.col("tier").desc(), F.xxhash64("rk"), F.col("rk")], "length", "pack-short"),
                         "pack-short-at")
     filled = _poured(long_, short, min(gaps, short.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]))
     leftover = _leftover(short, gaps, n_full + n_long)
-    pieces = full.unionByName(windows).unionByName(filled).unionByName(leftover)
-    pieces = cut_lineage(pieces, "pack-pieces")
+    parts = _checksums(filled.unionByName(leftover), tokens)
+    pieces = cut_lineage(full.unionByName(windows).unionByName(parts), "pack-pieces")
     return _finish(pieces, tokens)
 
 
@@ -209,6 +218,25 @@ def _leftover(short: DataFrame, gaps: int, first_seq: int) -> DataFrame:
         ((F.col("pos") + F.col("_c._skip")) % CONTEXT).alias("offset"))
 
 
+def _checksums(parts: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Parts of short remainders with the checksum of their ids, read from the remainder's own ids."""
+    def checksum(batches):
+        for b in batches:
+            tail = b.column("tail")
+            bounds, values = tail.offsets.to_numpy(), tail.values.to_numpy(zero_copy_only=False).astype("<u4")
+            at = (b.column("start").to_numpy() - b.column("base").to_numpy())
+            length = b.column("length").to_numpy()
+            crc = [zlib.crc32(values[bounds[i] + at[i]:bounds[i] + at[i] + length[i]].tobytes()) for i in range(b.num_rows)]
+            yield pa.RecordBatch.from_arrays([b.column(c) for c in ("rk", "start", "length", "seq", "offset")]
+                                             + [pa.array(crc, pa.int64())],
+                                             ["rk", "start", "length", "seq", "offset", "ids_crc32"])
+
+    tails = tokens.where(F.col("tail").isNotNull()).select(
+        "rk", "tail", ((F.col("n") / CONTEXT).cast("long") * CONTEXT).alias("base"))
+    return parts.join(tails, "rk").select("rk", "start", "length", "seq", "offset", "tail", "base").mapInArrow(
+        checksum, "rk long, start long, length long, seq long, offset long, ids_crc32 long")
+
+
 def _finish(pieces: DataFrame, tokens: DataFrame) -> DataFrame:
     """Pieces with their ids' checksum, the document's size, the sequence's padding and step group."""
     seqs = pieces.groupBy("seq").agg(F.sum("length").alias("used"))
@@ -219,25 +247,7 @@ def _finish(pieces: DataFrame, tokens: DataFrame) -> DataFrame:
     seq_info = ranked.select("seq", _tier(F.col("used")).alias("padded"),
                              F.when(lap % 2 == 0, at).otherwise(groups - 1 - at).alias("step"))
 
-    def checksum(batches):
-        for b in batches:
-            ids = b.column("ids")
-            bounds, values = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False).astype("<u4")
-            out_rk, out_start, out_crc = [], [], []
-            for row, (rk, places) in enumerate(zip(b.column("rk").to_pylist(), b.column("places").to_pylist())):
-                mine = values[bounds[row]:bounds[row + 1]]
-                for p in places:
-                    out_rk.append(rk)
-                    out_start.append(p["start"])
-                    out_crc.append(zlib.crc32(mine[p["start"]:p["start"] + p["length"]].tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(out_rk, pa.int64()), pa.array(out_start, pa.int64()),
-                                              pa.array(out_crc, pa.int64())], ["rk", "start", "ids_crc32"])
-
-    # one row per document with all its pieces' places, so each document's ids are read once
-    per_doc = pieces.groupBy("rk").agg(F.collect_list(F.struct("start", "length")).alias("places"))
-    sums = tokens.join(per_doc, "rk").select("rk", "ids", "places").mapInArrow(
-        checksum, "rk long, start long, ids_crc32 long")
     docs = tokens.select("rk", "doc_id", F.col("n").alias("doc_tokens"))
-    return (pieces.join(sums, ["rk", "start"]).join(docs, "rk").join(seq_info, "seq")
+    return (pieces.join(docs, "rk").join(seq_info, "seq")
             .select("doc_id", "start", "length", "ids_crc32", "doc_tokens", F.col("seq").alias("sequence_id"),
                     "offset", _tier(F.col("length")).alias("tier"), "padded", "step"))

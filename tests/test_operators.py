@@ -8,6 +8,7 @@ from tidewatch.operators.nearest import nearest
 from tidewatch.operators.ordered import exact_quantiles, running_totals
 from tidewatch.operators.skew import attach_per_key
 from tidewatch.plans import explore, metrics
+from tidewatch.session import cut_lineage
 
 
 def test_quantiles_equal_numpy(spark):
@@ -56,6 +57,40 @@ def test_nearest_equals_brute_force(spark, options):
         assert got[f"q{i}"] == sorted(range(len(ref)), key=lambda j: (dist[j], j))[:4]
 
 
+def test_nearest_writes_each_query_once(spark, monkeypatch):
+    """Rows without clusters visit nearly every cell: what is written must not be one row per query and cell."""
+    written = {}
+
+    def counted(df, name="stage"):
+        out = cut_lineage(df, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr("tidewatch.operators.nearest.cut_lineage", counted)
+    x = np.random.default_rng(7).normal(size=(1500, 20))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, x array<double>")
+    got = {}
+    for r in nearest(rows, rows, 3, 20, skip_same=True, block_rows=400, stripe_rows=200, cells=60).orderBy("qid", "dist", "rid").collect():
+        got.setdefault(r.qid, []).append(r.rid)
+    assert written["nn-visits"] == 1500
+    for i in range(0, 1500, 50):
+        dist = np.sqrt(((x - x[i]) ** 2).sum(1))
+        assert got[i] == [j for j in sorted(range(1500), key=lambda j: (dist[j], j)) if j != i][:3]
+
+
+def test_a_crowded_cell_is_cut_into_stripes(spark):
+    """Equal ids with differing vectors, a cell above a stripe, and queries in several blocks."""
+    x = np.concatenate([np.random.default_rng(8).normal(size=(400, 4)) * 1e-3, np.random.default_rng(9).normal(size=(30, 4)) + 9])
+    rows = spark.createDataFrame([(f"r{i // 2}", v.tolist()) for i, v in enumerate(x)], "id string, x array<double>")
+    asked = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, x array<double>")
+    got = {}
+    for r in nearest(asked, rows, 2, 4, block_rows=64, stripe_rows=50, cells=5).orderBy("qid", "dist", "rid").collect():
+        got.setdefault(r.qid, []).append(r.rid)
+    for i in range(len(x)):
+        dist = np.sqrt(((x - x[i]) ** 2).sum(1))
+        assert got[i] == [f"r{j // 2}" for j in sorted(range(len(x)), key=lambda j: (dist[j], f"r{j // 2}"))[:2]]
+
+
 def test_binary_metrics(spark):
     rng = random.Random(9)
     data = [(round(rng.random(), 1), rng.random() < 0.3) for _ in range(400)]

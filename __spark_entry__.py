@@ -22,7 +22,7 @@ from tidewatch.models.autoencoder import AutoencoderDetector, AutoencoderModel,
 from tidewatch.models.baseline import BaselineDetector, explained  # noqa: E402
 from tidewatch.models.scaling import RobustScale  # noqa: E402
 from tidewatch.schemas import KEY, LABEL, QUICK_PORTAL, QUICK_TRADE, STORE_FEATURES  # noqa: E402
-from tidewatch.session import clustered, cut_lineage, shared_path  # noqa: E402
+from tidewatch.session import cut_lineage, shared_path  # noqa: E402
 from tidewatch.sources import envelope, lookup  # noqa: E402
 from tidewatch.sources.bridge import portal_columns, portal_view, trade_columns, trade_view  # noqa: E402
 from tidewatch.streaming import buffers, scoring  # noqa: E402
@@ -44,8 +44,11 @@ def _portal_features(spark, d) -> DataFrame:
 
 
 def _trades(spark, d) -> DataFrame:
-    """The trade view joined once and laid out by user, for queries that read it several times."""
-    return clustered(trade_view(spark, d), KEY, "trades")
+    """The trade view joined once and laid out by user, for queries that read it several times.
+
+    Features and rules read all of a trade but its direction, closing time and kind of anomaly.
+    """
+    return cut_lineage(trade_view(spark, d, by_user=True).drop("direction", "close_ts", "anomaly_type"), "trades")
 
 
 def _trading_features(spark, d, trades: DataFrame | None = None) -> DataFrame:

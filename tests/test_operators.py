@@ -42,6 +42,19 @@ def test_attach_splits_only_heavy_keys(spark):
     assert got.count() == 52 and got.where("k = 'h' and m = 49").count() == 50
 
 
+def test_the_list_of_heavy_keys_is_broadcast(spark):
+    """Left to the planner, the join with the short list shuffles all events."""
+    events = spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
+    per_key = events.groupBy("k").agg(F.count("*").alias("n"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = attach_per_key(events, per_key, "k", "n", ["v"], rows_per_part=142)
+        assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("options", [{}, {"block_rows": 20, "stripe_rows": 40, "cells": 30}])
 def test_nearest_equals_brute_force(spark, options):
     rng = np.random.default_rng(4)

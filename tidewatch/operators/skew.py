@@ -11,10 +11,11 @@ ROWS_PER_PART = 1_000_000
 def heavy_keys(per_key: DataFrame, key: str, count: str, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """(key, _parts) of the keys above `rows_per_part` rows.
 
-    The list cannot be longer than rows / rows_per_part; Spark broadcasts it if its size allows.
+    The list cannot be longer than rows / rows_per_part, so it is broadcast: left to the planner, which knows
+    nothing of the count, a join with it shuffles all events.
     """
     parts = F.ceil(F.col(count) / F.lit(rows_per_part)).cast("int")
-    return per_key.where(F.col(key).isNotNull() & (F.col(count) > rows_per_part)).select(key, parts.alias("_parts"))
+    return F.broadcast(per_key.where(F.col(key).isNotNull() & (F.col(count) > rows_per_part)).select(key, parts.alias("_parts")))
 
 
 def attach_per_key(events: DataFrame, per_key: DataFrame, key: str, count: str, spread: list[str],

@@ -26,13 +26,14 @@ def portal_columns(events: DataFrame) -> DataFrame:
         F.when((kind == "error") & (value > 260), "error_spike").alias("anomaly_type"))
 
 
-def trade_columns(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
+def trade_columns(lineitem: DataFrame, orders: DataFrame, part: DataFrame, by_user: bool = False) -> DataFrame:
+    """Trades; with `by_user` the joined rows are brought together by user before the texts are made of them."""
     price, minutes = F.col("l_extendedprice"), 10 * F.col("l_tax") * F.col("l_linenumber")
     flagged = (F.col("l_quantity") > 49) & (F.col("l_discount") > 0.09)
     opened = F.col("l_shipdate").cast("timestamp")
-    return (lineitem.join(orders.select("o_orderkey", "o_custkey"),
-                          F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+    joined = (lineitem.join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+              .join(part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey")))
+    return ((joined.hint("rebalance", "o_custkey") if by_user else joined)
             .select(
                 F.concat_ws("-", *[F.col(c).cast("string") for c in
                                    ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
@@ -51,7 +52,7 @@ def portal_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portal_columns(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
-def trade_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trade_view(spark: SparkSession, sf_dir: str, by_user: bool = False) -> DataFrame:
     read = spark.read.parquet
     return trade_columns(read(f"{sf_dir}/lineitem.parquet"), read(f"{sf_dir}/orders.parquet"),
-                         read(f"{sf_dir}/part.parquet"))
+                         read(f"{sf_dir}/part.parquet"), by_user)

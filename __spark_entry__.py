@@ -139,8 +139,8 @@ def _alerts_top(spark, d) -> DataFrame:
 
 
 def _alerts_by_user(spark, d) -> DataFrame:
-    """The user's own events are all that is read on: features, scores and rules are per user."""
-    events, trades = (view(spark, d).where(F.col(KEY) == 42) for view in (portal_view, trade_view))
+    """The user's own events are all that is read on, written once: features, scores and rules are per user."""
+    events, trades = (cut_lineage(view(spark, d).where(F.col(KEY) == 42), "own") for view in (portal_view, trade_view))
     scores = _stand_ins(store.feature_store(portal.portal_features(events, **WINDOWS), trading.trading_features(trades)))
     raised = alerts.alerts_from_scores(scores, events, trades, AS_OF, threshold=0.30, **WINDOWS)
     return (alerts.alerts_of_user(raised, 42)

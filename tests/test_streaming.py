@@ -1,6 +1,7 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from conftest import BASE
@@ -9,7 +10,7 @@ from tidewatch.plans.trading import trading_features
 from tidewatch.schemas import PORTAL_TOPIC, ROW, STORE_FEATURES, TRADE_TOPIC
 from tidewatch.session import cut_lineage
 from tidewatch.sources.envelope import alert_records, decoded, event_envelope
-from tidewatch.streaming.buffers import keyed_records, trimmed, user_buffers
+from tidewatch.streaming.buffers import UserBuffers, keyed_records, trimmed, user_buffers
 from tidewatch.streaming.scoring import (ALERT_BUCKETS, BUCKET, StreamScorer, alert_bucket, buffered_events,
                                          earlier_alerts, first_alerts, publish_to, quick_features, read_alerts,
                                          run_to_end)
@@ -85,6 +86,55 @@ def test_buffers_over_micro_batches(spark, portal, trades, tmp_path):
     assert '"H00001"' in seen[1]["H"].portal[0] and '"H00200"' in seen[1]["H"].portal[-1]
 
 
+def test_a_users_state_is_read_and_written_once_a_batch():
+    calls, held = [], {}
+
+    class Value:
+        def exists(self):
+            calls.append("exists")
+            return bool(held)
+
+        def get(self):
+            calls.append("get")
+            return held.get("v")
+
+        def update(self, value):
+            calls.append("update")
+            held["v"] = value
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return Value()
+
+    users = UserBuffers(rows=3, every=4)
+    users.init(Handle())
+
+    def event(source, at, id_, weight=1):
+        return Row(key="u", source=source, value=f"{source}-{id_}", at_us=at, id=id_, weight=weight)
+
+    first = [event("portal", 5, "b"), event("portal", 5, "a"), event("trading", 1, "t", 2)]
+    assert [r.asDict() for r in users.handleInputRows(("u",), iter(first), None)] == [
+        {"user_id": "u", "seen": 4, "portal": ["portal-a", "portal-b"], "trades": ["trading-t"]}]
+    assert list(users.handleInputRows(("u",), iter([event("portal", 2, "c"), event("portal", 1, "d")]), None)) == []
+    assert calls == ["get", "update"] * 2 and held["v"] == (6, ["portal-b", "portal-d", "portal-c"], ["trading-t"])
+
+
+def test_alerts_of_a_batch_are_dealt_by_bucket(spark, portal, trades, tmp_path):
+    """One file a bucket, not one for each task that holds a user of it."""
+    events = portal([e for u in range(40) for e in logins(f"u{u}", 9)])
+    buffers = event_envelope(events, trades([{}]).limit(0)).groupBy(F.col("key").alias("user_id")).agg(
+        F.collect_list("value").alias("portal")).select("user_id", F.lit(9).cast("bigint").alias("seen"), "portal",
+                                                        F.array().cast("array<string>").alias("trades"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        StreamScorer(FixedScore(), FixedScore(), str(tmp_path / "alerts"), as_of=datetime(2024, 7, 1))(buffers, 0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert read_alerts(spark, str(tmp_path / "alerts")).count() == 40
+    folders = list((tmp_path / "alerts" / "batch_id=0").glob(f"{BUCKET}=*"))
+    assert folders and all(len(list(f.glob("*.parquet"))) == 1 for f in folders)
+
+
 def test_quick_features_equal_batch_features(spark, portal, trades):
     p = portal(logins("a", 9) + logins("b", 4, "success", 900) + [
         {"user_id": "b", "event_type": "deposit", "amount": 100.0}, {"user_id": "b", "event_type": "withdrawal", "amount": 50.0}])

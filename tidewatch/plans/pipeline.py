@@ -74,8 +74,8 @@ def record_runs(baseline_scores: DataFrame, ae_scores: DataFrame, path: str, as_
     auto = metrics.long_scores(ae_scores, [("ae", "lstm_score", F.col("lstm_anomaly") == 1)], label)
     for series, name, params in (
             (base, "isolation_forest_lof_ensemble",
-             {"model_type": "IsolationForest+LOF", "contamination": baseline.contamination, "n_estimators": baseline.trees,
-              "lof_n_neighbors": baseline.neighbors}),
+             {"model_type": "IsolationForest+LOF", "contamination": baseline.getOrDefault("contamination"), "n_estimators": baseline.getOrDefault("trees"),
+              "lof_n_neighbors": baseline.getOrDefault("neighbors")}),
             (auto, "mlp_autoencoder", {"model_type": "MLPAutoencoder", "hidden_dim": layer_sizes(width)[1],
-                                       "latent_dim": layer_sizes(width)[2], "epochs": autoencoder.epochs})):
+                                       "latent_dim": layer_sizes(width)[2], "epochs": autoencoder.getOrDefault("epochs")})):
         write_table(metrics.run_record(metrics.binary_metrics(series), name, params | more, as_of), path, mode="append")

@@ -99,6 +99,14 @@ def test_merkle_small_tables(spark):
     assert merkle.manifest(clash.withColumn("root", clash.doc_id)).count() == 2
 
 
+def test_merkle_joins_all_leaves_by_parent_only(spark):
+    rows = [(i, f"Text {i}", "en", f"s{i % 40}", 5) for i in range(900)]  # two levels in a source, two above them
+    assert _compare(spark, rows).root.nunique() == 1
+    plan = merkle.manifest(_docs(spark, rows))._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    assert "_pr" in joins[0] and not any("src" in line for line in joins)  # what a source hands on came down with the parents
+
+
 def _pack_check(out, texts):
     """Every id in exactly one piece, checksums right, sequences within the context and gapless."""
     from tokenizers import Tokenizer

@@ -15,7 +15,9 @@ ordered by source (null first, bytewise), roll up the same way to the root.
 Proofs: every group row emits, by transform and explode, each child's siblings (left and right of it).
 These sibling entries are carried down level by level with one key join each (child rank >> 4 to its
 parent's rank): each join meets at most FANOUT children per parent, and the levels shrink by FANOUT.
-A leaf's path is its entries bottom-up, then its source's entries in the tree of subroots.
+A leaf's path is its entries bottom-up, then its source's entries in the tree of subroots. What a source
+hands to all its leaves (those entries and the subroot) joins its top node, one row, and goes down with the
+entries, so no join of all leaves is by source.
 proof_sha256 is H of all siblings in that order; folded_root folds the tampered leaf with the original
 siblings; verified compares it with the root.
 
@@ -77,11 +79,11 @@ def _ranked(df: DataFrame, group: str, order: list[str]) -> DataFrame:
 
 
 def _levels(nodes: DataFrame, name: str) -> tuple[list[DataFrame], DataFrame]:
-    """Group rows of every level (g, pr, kids, digest, c) and the tops (g, digest), from (g, r, digest, c)."""
+    """Group rows of every level (g, pr, kids, digest, c) and the tops (g, digest, depth: at which level), from (g, r, digest, c)."""
     levels, tops = [], []
     nodes = cut_lineage(nodes, f"{name}-0")
     while True:
-        tops.append(nodes.where(F.col("c") == 1).select("g", "digest"))
+        tops.append(nodes.where(F.col("c") == 1).select("g", "digest", F.lit(len(levels)).alias("depth")))
         active = nodes.where(F.col("c") > 1)
         if active.isEmpty():
             break
@@ -111,19 +113,20 @@ def _siblings(level: DataFrame) -> DataFrame:
             .select("g", (F.shiftleft("pr", _SHIFT) + F.col("e.pos")).alias("r"), "e.left", "e.right"))
 
 
-def _paths(levels: list[DataFrame], name: str, lowest: int = 0) -> DataFrame | None:
-    """(g, r, path) of the nodes at level `lowest`: sibling entries bottom-up to the group's top.
+def _upper_paths(levels: list[DataFrame], anchors: DataFrame, depth: int, name: str) -> DataFrame:
+    """(g, r, path, subroot) of the nodes at level `depth`: sibling entries bottom-up to the group's top, then the anchor's.
 
-    None where no level lies above them. Tables shrink by FANOUT a level, so the joins are cheap.
+    An anchor (g, depth, path, subroot) says at which level a group's top is and what follows there; it goes down
+    with the paths. Tables shrink by FANOUT a level, so the joins are cheap.
     """
-    up = None
-    for depth in range(len(levels) - 1, lowest - 1, -1):
-        here = _siblings(levels[depth]).select("g", "r", F.array(F.struct("left", "right")).alias("path"))
-        if up is not None:
-            parent = up.select(F.col("g").alias("_g"), F.col("r").alias("_r"), F.col("path").alias("_up"))
-            here = (here.join(parent, here["g"].eqNullSafe(parent["_g"]) & (F.shiftright(here["r"], _SHIFT) == parent["_r"]), "left")
-                    .select("g", "r", F.concat("path", F.coalesce("_up", F.array().cast(here.schema["path"].dataType))).alias("path")))
-        up = cut_lineage(here, f"{name}-path-{depth}")
+    tops = lambda at: anchors.where(F.col("depth") == at).select("g", F.lit(0).cast("long").alias("r"), "path", "subroot")
+    up = tops(len(levels))
+    for at in range(len(levels) - 1, depth - 1, -1):
+        here = _siblings(levels[at]).select("g", "r", F.array(F.struct("left", "right")).alias("own"))
+        parent = up.select(F.col("g").alias("_g"), F.col("r").alias("_r"), F.col("path").alias("_up"), "subroot")
+        here = (here.join(parent, here["g"].eqNullSafe(parent["_g"]) & (F.shiftright(here["r"], _SHIFT) == parent["_r"]))
+                .select("g", "r", F.concat("own", "_up").alias("path"), "subroot"))
+        up = cut_lineage(here.unionByName(tops(at)), f"{name}-path-{at}")
     return up
 
 
@@ -147,7 +150,7 @@ def manifest(docs: DataFrame) -> DataFrame:
     ranked = _ranked(cut_lineage(leaves, "merkle-leaves"), "g", ["doc_id", "digest"])
     levels, subroots = _levels(ranked.select("g", "r", "digest", "c"), "merkle")
     # the tree of subroots: one group, ranked by source
-    sub = subroots.select(F.lit(0).alias("one"), F.col("g").alias("src"), "digest")
+    sub = subroots.select(F.lit(0).alias("one"), F.col("g").alias("src"), "digest", "depth")
     src_ranked = _ranked(sub, "one", ["src"])
     src_levels, top = _levels(src_ranked.select(F.col("one").alias("g"), "r", "digest", "c"), "merkle-src")
     root_rows = top.select("digest").collect()  # one row at most: the root
@@ -157,34 +160,25 @@ def manifest(docs: DataFrame) -> DataFrame:
                 "folded_root string, verified boolean")
     root = root_rows[0]["digest"]
     empty_path = F.array().cast("array<struct<left:string,right:string>>")
-    src_paths = _paths(src_levels, "merkle-src")
-    per_source = src_ranked.select("src", F.col("digest").alias("subroot"), "r")
-    if src_paths is not None:
-        per_source = (per_source.join(src_paths.select(F.col("r").alias("_r"), F.col("path").alias("src_path")),
-                                      F.col("r") == F.col("_r"), "left").drop("_r"))
-    else:
-        per_source = per_source.withColumn("src_path", empty_path)
-    per_source = per_source.select("src", "subroot", F.coalesce("src_path", empty_path).alias("src_path"))
-    # a leaf's own siblings come from its parent's children in the final join; only the paths of the
-    # levels above (FANOUT times fewer rows) are written, never one of every leaf
+    above = docs.sparkSession.range(1).select(  # above the tree of subroots nothing follows
+        F.lit(0).alias("g"), F.lit(len(src_levels)).alias("depth"), empty_path.alias("path"), F.lit(root).alias("subroot"))
+    src_paths = _upper_paths(src_levels, above, 0, "merkle-src").select(F.col("r").alias("_r"), "path")
+    anchors = cut_lineage(src_ranked.join(src_paths, F.col("r") == F.col("_r"))
+                          .select(F.col("src").alias("g"), "depth", "path", F.col("digest").alias("subroot")), "merkle-anchors")
+    # a leaf's own siblings come from its parent's children in the only join of all leaves; what follows above them, to
+    # the root, is written for the parents (FANOUT times fewer rows), never one of every leaf
     rows = ranked.select("doc_id", "g", "r", F.col("digest").alias("leaf"), "tampered")
+    lone = anchors.where(F.col("depth") == 0).select("g", F.lit(0).cast("long").alias("pr"), "path", "subroot")
     if levels:
-        parents = levels[0].select(F.col("g").alias("_g"), F.col("pr").alias("_pr"), "kids")
-        upper = _paths(levels, "merkle", lowest=1)
-        if upper is not None:
-            parents = (parents.join(upper.select(F.col("g").alias("_ug"), F.col("r").alias("_ur"), F.col("path").alias("_up")),
-                                    parents["_g"].eqNullSafe(F.col("_ug")) & (parents["_pr"] == F.col("_ur")), "left")
-                       .drop("_ug", "_ur"))
-        else:
-            parents = parents.withColumn("_up", empty_path)
-        rows = rows.join(parents, rows["g"].eqNullSafe(parents["_g"]) & (F.shiftright(rows["r"], _SHIFT) == parents["_pr"]), "left")
-        own = F.array(_own_siblings("kids", F.col("r").bitwiseAND(FANOUT - 1).cast("int")))
-        rows = rows.withColumn("path", F.when(F.col("kids").isNull(), empty_path)
-                               .otherwise(F.concat(own, F.coalesce("_up", empty_path)))).drop("_g", "_pr", "kids", "_up")
+        upper = _upper_paths(levels, anchors, 1, "merkle").select(F.col("g").alias("_ug"), F.col("r").alias("_ur"), "path", "subroot")
+        parents = (levels[0].join(upper, levels[0]["g"].eqNullSafe(F.col("_ug")) & (F.col("pr") == F.col("_ur")))
+                   .select("g", "pr", "kids", "path", "subroot").unionByName(lone, allowMissingColumns=True))
     else:
-        rows = rows.withColumn("path", empty_path)
-    rows = rows.join(per_source, rows["g"].eqNullSafe(per_source["src"]), "left")
-    path = F.concat(F.coalesce("path", empty_path), "src_path")
+        parents = lone.withColumn("kids", F.lit(None).cast("array<struct<pos:bigint,digest:string>>"))
+    parents = parents.withColumnsRenamed({"g": "_g", "pr": "_pr"})
+    rows = rows.join(parents, rows["g"].eqNullSafe(parents["_g"]) & (F.shiftright(rows["r"], _SHIFT) == parents["_pr"]))
+    own = F.array(_own_siblings("kids", F.col("r").bitwiseAND(FANOUT - 1).cast("int")))
+    path = F.when(F.col("kids").isNull(), F.col("path")).otherwise(F.concat(own, "path"))
     proof = F.sha2(F.concat_ws("", F.transform(path, lambda p: F.concat(p["left"], p["right"]))), 256)
     folded = F.aggregate(path, F.col("tampered"), lambda acc, p: F.sha2(F.concat(p["left"], acc, p["right"]), 256))
     return rows.select("doc_id", "leaf", "subroot", F.lit(root).alias("root"), proof.alias("proof_sha256"),

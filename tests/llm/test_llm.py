@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -392,6 +393,22 @@ def test_toxicity(spark, none):
     assert {r["predicted"] for r in toxicity.toxicity(docs, labels.where("toxic = 0")).collect()} == {0}
 
 
+def test_toxicity_is_fitted_in_blocks(monkeypatch):
+    rng = np.random.default_rng(1)
+    words = ["".join(w) for w in rng.choice(list("abcdefghijklmnopqrstuvwxyz"), (4000, 7))]
+    texts, labels = [" ".join(rng.choice(words, 400)) for _ in range(500)], np.arange(500) % 2
+    entries = len(ngrams.sample_matrix(texts, once=True, **toxicity.FORM)[1])
+    monkeypatch.setattr(toxicity, "STEPS", 3)
+    tracemalloc.start()
+    weights, intercept = toxicity.fit(labels, texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 26 * entries  # the features' 8 bytes each, what one block needs and the buckets' arrays
+    monkeypatch.setattr(toxicity, "BLOCK_ENTRIES", 10_000)
+    again = toxicity.fit(labels, texts)
+    assert (again[0] == weights).all() and np.isclose(again[1], intercept, rtol=1e-12)
+
+
 def test_quality(spark, none):
     def make(i, bad):
         t = passage(i, 40 + i % 200)

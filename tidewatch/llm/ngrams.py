@@ -116,8 +116,8 @@ def sample_matrix(texts: list[str | None], **how) -> tuple[np.ndarray, np.ndarra
     """(first, bucket, count, words): features of text i at first[i]:first[i + 1], and the number of its words counted.
     With repeat_weight, the pair of a word with itself is a feature of its own, in the bucket after the last."""
     once, weight = how.pop("once"), how.pop("repeat_weight", 0)
-    rows, buckets, counts, totals = [], [], [], []
-    for at, part in T.chunks(pa.array(texts, pa.string()), SAMPLE_BYTES):
+    sizes, totals, buckets, counts = [], [], bytearray(), bytearray()  # these two grow in place: no second copy, no holes
+    for _, part in T.chunks(pa.array(texts, pa.string()), SAMPLE_BYTES):
         g = word_grams(part, **how)
         row, bucket, n = text_features(g, once)
         if weight:
@@ -126,13 +126,21 @@ def sample_matrix(texts: list[str | None], **how) -> tuple[np.ndarray, np.ndarra
                               np.r_[n, weight * again[again > 0]])
             order = np.argsort(row, kind="stable")
             row, bucket, n = row[order], bucket[order], n[order]
-        rows.append((row + at).astype(np.int32))
-        buckets.append(bucket.astype(np.int32))
-        counts.append(n.astype(np.float32))
+        sizes.append(np.bincount(row, minlength=len(part)))
+        buckets += bucket.astype(np.int32).tobytes()
+        counts += n.astype(np.float32).tobytes()
         totals.append(np.bincount(text_words(g, once)[0], minlength=len(part)))
-    row = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    return (np.searchsorted(row, np.arange(len(texts) + 1)), np.concatenate(buckets or [row]), np.concatenate(counts or [row]),
-            np.concatenate(totals or [row]))
+    none = np.zeros(0, np.int64)
+    return (np.r_[0, np.cumsum(np.concatenate(sizes or [none]))], np.frombuffer(buckets, np.int32), np.frombuffer(counts, np.float32),
+            np.concatenate(totals or [none]))
+
+
+def text_blocks(first: np.ndarray, entries: int) -> list[tuple[int, int]]:
+    """Ranges of whole texts that cover all of them, each of `entries` features at most or one text."""
+    cuts = [0]
+    while cuts[-1] < len(first) - 1:
+        cuts.append(max(cuts[-1] + 1, int(np.searchsorted(first, first[cuts[-1]] + entries, "right")) - 1))
+    return list(zip(cuts, cuts[1:]))
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

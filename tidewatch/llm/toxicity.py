@@ -29,34 +29,53 @@ SMOOTHING = 1.0
 LEAST_TEXTS = 4
 PENALTY = 1e-4
 STEPS = 250
+#: A fit works on so many features at a time, which bounds its memory beside the features themselves (8 bytes each).
+BLOCK_ENTRIES = 1 << 18
 FORM = {"sizes": SIZES, "buckets": BUCKETS, "lower": True}
 
 
 def fit(labels: np.ndarray, texts: list[str]) -> tuple[np.ndarray, float]:
     """(weight of each bucket, intercept)."""
-    first, bucket, count, words = G.sample_matrix(texts, once=True, **FORM)
-    row = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(first))
+    first, bucket, value, words = G.sample_matrix(texts, once=True, **FORM)
     toxic = labels == 1
     if toxic.all() or not toxic.any():  # nothing to tell apart: the share of toxic texts, whatever the text
         return np.zeros(BUCKETS), 6.0 if len(labels) and toxic.all() else -6.0
-    have = [np.bincount(bucket[toxic[row] == t], minlength=BUCKETS) for t in (True, False)]
+    have = np.zeros((2, BUCKETS), np.int64)
+    for a, b in G.text_blocks(first, BLOCK_ENTRIES):
+        own = np.repeat(toxic[a:b], np.diff(first[a:b + 1]))
+        for have_t, t in zip(have, (True, False)):
+            np.add.at(have_t, bucket[first[a]:first[b]][own == t], 1)
     share = [(h + SMOOTHING) / (h + SMOOTHING).sum() for h in have]
     ratio = np.where(have[0] + have[1] >= LEAST_TEXTS, np.log(share[0] / share[1]), 0.0)
-    used = ratio[bucket] != 0
-    row, bucket, count = row[used], bucket[used], count[used]
-    kept = np.flatnonzero(np.bincount(bucket, minlength=BUCKETS))
+    kept = np.flatnonzero((ratio != 0) & (have.sum(0) > 0))
     place = np.zeros(BUCKETS, np.int32)
     place[kept] = np.arange(len(kept))
-    bucket, ratio = place[bucket], ratio[kept]
-    value = (ratio.astype(np.float32)[bucket] * count / np.sqrt(np.maximum(words, 1)).astype(np.float32)[row])
-    del used, count, place
+    # counts become scaled values and n-grams that tell nothing go, in the arrays' own memory: what stays moves forward
+    scale, root, end, first_kept = ratio.astype(np.float32), np.sqrt(np.maximum(words, 1)).astype(np.float32), 0, [0]
+    for a, b in G.text_blocks(first, BLOCK_ENTRIES):
+        at, row = bucket[first[a]:first[b]], np.repeat(np.arange(a, b), np.diff(first[a:b + 1]))
+        used = ratio[at] != 0
+        at, row, n = at[used], row[used], value[first[a]:first[b]][used]
+        bucket[end:end + len(at)], value[end:end + len(at)] = place[at], scale[at] * n / root[row]
+        first_kept.extend(end + np.cumsum(np.bincount(row - a, minlength=b - a)))
+        end += len(at)
+    first, ratio = np.array(first_kept), ratio[kept]
+    blocks = G.text_blocks(first, BLOCK_ENTRIES)
+    del have, share, place, scale, root
     # both classes weigh the same; full-batch steps with momentum and a step size for each weight, the last one's being the intercept
     balance = np.where(toxic, 0.5 / toxic.sum(), 0.5 / (~toxic).sum())
-    weight, side, speed = (np.zeros(len(kept) + 1) for _ in range(3))
+    weight, side, speed, slope = (np.zeros(len(kept) + 1) for _ in range(4))
+    error = np.zeros(len(texts))
     for step in range(1, STEPS + 1):
-        logit = np.bincount(row, value * weight[bucket], minlength=len(texts)) + weight[-1]
-        error = (G.sigmoid(logit) - toxic) * balance
-        slope = np.r_[np.bincount(bucket, value * error[row], minlength=len(kept)) + PENALTY * weight[:-1], error.sum()]
+        slope[:] = 0
+        for a, b in blocks:
+            at, part = bucket[first[a]:first[b]], value[first[a]:first[b]]
+            row = np.repeat(np.arange(b - a), np.diff(first[a:b + 1]))
+            logit = np.bincount(row, part * weight[at], minlength=b - a) + weight[-1]
+            error[a:b] = (G.sigmoid(logit) - toxic[a:b]) * balance[a:b]
+            np.add.at(slope, at, part * error[a:b][row])
+        slope[:-1] += PENALTY * weight[:-1]
+        slope[-1] = error.sum()
         side, speed = 0.9 * side + 0.1 * slope, 0.99 * speed + 0.01 * slope ** 2
         weight -= 0.05 * np.sqrt(1 - 0.99 ** step) / (1 - 0.9 ** step) * side / (np.sqrt(speed) + 1e-9)
     weights = np.zeros(BUCKETS)

@@ -4,8 +4,10 @@ from collections import defaultdict
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import BASE, one
+from tidewatch.functions.columns import rounded, whole
 from tidewatch.plans.portal import login_bursts, portal_features
 from tidewatch.plans.store import feature_columns, feature_counts, feature_store, imputed
 from tidewatch.plans.trading import trading_features, win_streaks
@@ -204,3 +206,18 @@ def test_csv_columns_go_by_name(spark, portal, tmp_path):
     rows.select(*reversed(rows.columns)).coalesce(1).write.option("header", True).csv(str(tmp_path / "p"))
     got = read_portal(spark, str(tmp_path / "p"))
     assert got.columns == rows.columns and sorted(map(str, got.collect())) == sorted(map(str, rows.collect()))
+
+
+def test_rounding_without_decimals_gives_the_decimal_result(spark):
+    rng = random.Random(7)
+    values = [None, math.nan, math.inf, -math.inf, -0.0, 0.0, -1e-12, 5e-324, 1e308, 0.5, -0.5, 1.5, 2.5, 0.00005, -0.00005,
+              1.00000000005, 1e15 + 0.5, 99999999999.5, 1.005, 2.675, 1234.56785]
+    values += [k * 0.00005 for k in range(-300, 300)] + [rng.uniform(-1, 1) * 10 ** rng.uniform(-8, 18) for _ in range(2000)]
+    df, v = spark.createDataFrame([(x,) for x in values], "v double"), F.col("v")
+    pairs = {f"d{d}": (rounded(v, d), F.bround(F.round(v, 10), d)) for d in (0, 2, 4, 6, 8)}
+    small = F.when(F.abs(v) < 1e18, v)  # a bigint holds no more
+    pairs["whole"] = (whole(small), F.round(small).cast("bigint"))
+    got = df.select(*[c.cast("string").alias(f"{n}_{k}") for n, two in pairs.items() for k, c in zip("ab", two)]).collect()
+    for n in pairs:
+        assert [r[f"{n}_a"] for r in got] == [r[f"{n}_b"] for r in got]
+    assert "rint" in str(rounded(v, 6)).lower() and "rint" not in str(rounded(v, 8)).lower()

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import whole
+
 
 def portal_columns(events: DataFrame) -> DataFrame:
     kind, value = F.col("event_type"), F.col("value")
@@ -37,7 +39,7 @@ def trade_columns(lineitem: DataFrame, orders: DataFrame, part: DataFrame, by_us
             .select(
                 F.concat_ws("-", *[F.col(c).cast("string") for c in
                                    ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
-                            F.round(price * 100).cast("bigint").cast("string")).alias("trade_id"),
+                            whole(price * 100).cast("string")).alias("trade_id"),
                 F.col("o_custkey").alias("user_id"), F.col("p_type").alias("instrument"),
                 F.when(F.col("l_returnflag") == "R", "sell").otherwise("buy").alias("direction"),
                 F.col("l_quantity").alias("lot_size"), opened.alias("open_ts"),

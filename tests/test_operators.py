@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidewatch.operators import nearest as nearest_module
 from tidewatch.operators.nearest import nearest
 from tidewatch.operators.ordered import exact_quantiles, running_totals
 from tidewatch.operators.skew import attach_per_key
@@ -91,6 +92,33 @@ def test_nearest_writes_each_query_once(spark, monkeypatch):
         assert got[i] == [j for j in sorted(range(1500), key=lambda j: (dist[j], j)) if j != i][:3]
 
 
+@pytest.mark.parametrize("shape", ["spread", "far and near", "clusters far off", "queries apart", "broken"])
+def test_few_pairs_of_a_unit_are_compared_in_full(monkeypatch, shape):
+    """All pairs are ruled out or compared exactly: the answer is brute force's, with few full distances."""
+    rng = np.random.default_rng(12)
+    y = rng.normal(size=(6000, 12)) @ rng.normal(size=(12, 40)) + rng.normal(size=(6000, 40)) * 0.05
+    if shape == "far and near":
+        y[::10, :5] += rng.normal(size=(600, 5)) * 3000
+    elif shape == "clusters far off":
+        y = y * 1e-4 + rng.normal(size=(8, 40))[np.arange(6000) % 8] * 1e5
+    x = np.concatenate([y[:700], y[:100] + 30.0]) if shape == "queries apart" else y[:800].copy()
+    if shape == "broken":
+        x[3], y[5, 7] = np.nan, np.inf
+    full = []
+    measured = nearest_module._Best._distances
+    monkeypatch.setattr(nearest_module._Best, "_distances", lambda self, a, b: full.append(len(a)) or measured(self, a, b))
+    for known in (False, True):
+        dist = np.sqrt(((x[:, None, :] - y[None]) ** 2).sum(2))
+        d = np.sort(np.nan_to_num(dist, nan=np.inf), axis=1)[:, 9] if known else np.full(len(x), np.inf)
+        best = nearest_module._Best(x, y, np.arange(6000), None, 10, d)
+        best.search()
+        for i in range(len(x)):
+            wanted = [] if np.isnan(x[i]).any() else np.lexsort((np.arange(6000), dist[i]))[:10].tolist()
+            assert best.ref[i][best.ref[i] >= 0].tolist() == wanted
+    if shape in ("spread", "far and near"):
+        assert sum(full) < 0.1 * 2 * len(x) * len(y)
+
+
 def test_a_crowded_cell_is_cut_into_stripes(spark):
     """Equal ids with differing vectors, a cell above a stripe, and queries in several blocks."""
     x = np.concatenate([np.random.default_rng(8).normal(size=(400, 4)) * 1e-3, np.random.default_rng(9).normal(size=(30, 4)) + 9])

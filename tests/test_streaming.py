@@ -70,6 +70,19 @@ def test_trimming_keeps_the_count(spark, portal, trades):
                    ("H", "trading"): (1, 1, "t00000")}
 
 
+def test_batches_without_a_long_buffer_are_handed_on(spark, portal, trades):
+    """Sorting and grouping in pandas is left to the batches in which some user has too many events."""
+    rows = keyed_records(event_envelope(portal(logins("H", 150) + logins("a", 60)), trades([{"user_id": "H"}])))
+    plan = trimmed(rows, 200)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "MapInPandas" not in plan
+    as_rows = lambda df: sorted(tuple(r) for r in df.select(*rows.columns).collect())
+    assert as_rows(trimmed(rows.coalesce(1), 200)) == as_rows(rows)
+    cut = trimmed(rows.coalesce(1), 100)
+    assert {(r.key, r.source): (r.n, r.w) for r in cut.groupBy("key", "source").agg(
+        F.count("*").alias("n"), F.sum("weight").alias("w")).collect()} == {
+            ("H", "portal"): (100, 150), ("a", "portal"): (60, 60), ("H", "trading"): (1, 1)}
+
+
 def test_buffers_over_micro_batches(spark, portal, trades, tmp_path):
     deals = trades([{"user_id": "H", "pnl": float(i), "open_ts": BASE + timedelta(hours=i)} for i in range(4)])
     parts = [event_envelope(portal(logins("H", 150)), deals),
